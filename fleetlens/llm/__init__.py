@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, token_store
+from . import mixing, packing, quality, token_store
 
-_MODULES = (token_store, mixing, packing)
+_MODULES = (quality, token_store, mixing, packing)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
