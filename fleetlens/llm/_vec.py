@@ -57,11 +57,13 @@ def as_binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[Block]:
+def blocks(column: pa.Array, size: int = BLOCK_BYTES, step: int = 1) -> Iterator[Block]:
+    """Blocks of ``size`` bytes or one document more; of a multiple of ``step`` documents."""
     data, offsets = as_binary(column)
     n, at = len(offsets) - 1, 0
     while at < n:
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
+        end = int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1
+        end = min(n, max(at + step, at + (end - at) // step * step))
         yield Block(at, data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at])
         at = end
 
