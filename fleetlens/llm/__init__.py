@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import minhash, mixing, packing, quality, token_store
+from . import minhash, mixing, packing, quality, suffixes, token_store
 
-_MODULES = (quality, token_store, mixing, packing, minhash)
+_MODULES = (quality, suffixes, token_store, mixing, packing, minhash)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
