@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import minhash, mixing, packing, quality, suffixes, token_store, vectors
+from . import licenses, minhash, mixing, packing, quality, suffixes, token_store, urls, vectors
 
-_MODULES = (quality, suffixes, token_store, mixing, vectors, packing, minhash)
+_MODULES = (licenses, quality, suffixes, token_store, mixing, vectors, packing, urls, minhash)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from ._vec import Block, prefix_hash, range_hash
 
 #: Segments whose ids a worker remembers; beyond, it starts anew.
-CACHE_SEGMENTS = 1_000_000
+CACHE_SEGMENTS = 600_000
 
 _LETTER_DIGIT = np.zeros(256, bool)
 _LETTER_DIGIT[48:58] = _LETTER_DIGIT[65:91] = _LETTER_DIGIT[97:123] = True
