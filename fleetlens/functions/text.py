@@ -66,12 +66,12 @@ def tokens(c: Column) -> Column:
 
 def split_names(c: Column) -> Column:
     """Names between commas of either width, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "[,，]"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "[,，]"), lambda v: F.trim(v)), lambda x: x != "")
 
 
 def split_args(c: Column) -> Column:
     """Like split_names, line feeds separate too, first of equal names only."""
-    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "[,，\n]"), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "[,，\n]"), lambda v: F.trim(v)), lambda x: x != ""))
 
 
 def strip_tags(c: Column) -> Column:

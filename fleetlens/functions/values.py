@@ -91,7 +91,7 @@ def page_count(total: Column, size: int) -> Column:
 
 def batch_list(c: Column) -> Column:
     """'409', '405-409' or '405,407' as ascending distinct numbers."""
-    parts = F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "[,，]"), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "[,，]"), lambda v: F.trim(v)), lambda x: x != "")
 
     def span(x: Column) -> Column:
         ends = F.transform(F.split(x, "-"), lambda y: F.trim(y).cast("int"))
@@ -147,7 +147,7 @@ def literal_json(c: Column) -> Column:
 
 def zip_ids(ids: Column, names: Column) -> Column:
     """Two comma lists as structs (id, name); names may be fewer."""
-    i, n = (F.transform(F.split(F.coalesce(x, F.lit("")), ","), F.trim) for x in (ids, names))
+    i, n = (F.transform(F.split(F.coalesce(x, F.lit("")), ","), lambda v: F.trim(v)) for x in (ids, names))
     return F.filter(F.transform(i, lambda x, k: F.struct(x.alias("id"), F.coalesce(F.get(n, k), F.lit("")).alias("name"))), lambda s: s["id"] != "")
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import catalog
+from . import catalog, reconciliation
 
-_FAMILIES = (catalog,)
+_FAMILIES = (catalog, reconciliation)
 
 QUERIES = {name: q for family in _FAMILIES for name, q in family.QUERIES.items()}
 ORACLES = {name: sql for family in _FAMILIES for name, sql in family.ORACLES.items()}
