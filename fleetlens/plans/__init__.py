@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import catalog, reconciliation
+from . import catalog, comparison, reconciliation
 
-_FAMILIES = (catalog, reconciliation)
+_FAMILIES = (catalog, reconciliation, comparison)
 
 QUERIES = {name: q for family in _FAMILIES for name, q in family.QUERIES.items()}
 ORACLES = {name: sql for family in _FAMILIES for name, sql in family.ORACLES.items()}
