@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import catalog, comparison, reconciliation
+from . import catalog, comparison, reconciliation, texts
 
-_FAMILIES = (catalog, reconciliation, comparison)
+_FAMILIES = (catalog, reconciliation, comparison, texts)
 
 QUERIES = {name: q for family in _FAMILIES for name, q in family.QUERIES.items()}
 ORACLES = {name: sql for family in _FAMILIES for name, sql in family.ORACLES.items()}
