@@ -205,14 +205,17 @@ def catalog_docx(content: bytes) -> Iterator[tuple]:
         if block.tag != f"{_W}tbl":
             continue
         grid: list[list[str]] = []
+        above: list[str] = []  # the last row that isn't a header again
         for tr in block.iter(f"{_W}tr"):
             cells = []
             for i, tc in enumerate(tr.iter(f"{_W}tc")):
                 text = "".join(t.text or "" for t in tc.iter(f"{_W}t")).strip()
                 merge = tc.find(f"{_W}tcPr/{_W}vMerge")
-                if merge is not None and merge.get(f"{_W}val") != "restart" and grid and i < len(grid[-1]):
-                    text = text or grid[-1][i]
+                if merge is not None and merge.get(f"{_W}val") != "restart" and i < len(above):
+                    text = text or above[i]
                 cells.append(text)
+            if not grid or cells != grid[0]:
+                above = cells
             grid.append(cells)
         names = [column_of(c) for c in grid[0]] if grid else []
         if not qualifies(names, context.catalog):
