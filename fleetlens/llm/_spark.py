@@ -27,11 +27,23 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's setting that drops an execution's shuffle files when it has ended.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared folder and read it back."""
+    """Cut the lineage: write ``df`` to the shared folder and read it back.
+
+    Nothing needs the shuffle files behind the table once it is written; they go at once.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_TIDY)
+    spark.conf.set(_TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,7 +8,8 @@ have a twin are sorted:
    picked by content alone; a window and its twin have the same anchors at the same
    places. Anchors whose hash occurs once are done with.
 2. Contexts. A context is all that windows over an anchor can hold: its bytes to the
-   right and, read backwards, those to the left. Equal contexts are one, with a count.
+   right and, read backwards, those to the left. Equal contexts are one, with a count;
+   bytes are sent only of those that share their anchor with other contexts.
 3. Suffix array. Contexts with one anchor hash are sorted by their right suffixes and
    by their left ones: multikey quicksort over eight-byte symbols down to a shallow
    depth, then a blind trie for each group that still shares its prefix. Common
@@ -30,7 +31,7 @@ from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._spark import forget, materialize, partitions, table
@@ -226,25 +227,36 @@ def twins(group: np.ndarray, left: list[bytes], right: list[bytes], often: np.nd
     return least, greatest
 
 
+def short_key(text: Column) -> Column:
+    """Small key that brings places back to their text; texts that share one share places, which is harmless."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _anchor_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(1)):
                 h, doc, at = anchors(block)
                 node = batch.column(0).take(pa.array(doc + block.first))
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), node, pa.array(at, pa.int32())], ["anchor", "node", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), node, pa.array(at, pa.int32())], ["anchor", "short", "at"])
+
+    return docs.select(short_key(F.col("text")).alias("short"), "text").mapInArrow(run, "anchor long, short long, at int")
 
-    return docs.select(text_key(F.col("text")).alias("node"), "text").mapInArrow(run, "anchor long, node binary, at int")
 
+USES = "anchor long, context binary, reach int, size int, uses array<struct<node:binary,at:int>>"
 
-CONTEXT = "anchor long, context binary, reach int, bytes binary, uses array<struct<node:binary,at:int>>"
+
+def _context(raw: bytes, a: int, b: int, at: int) -> tuple[bytes, int, bytes]:
+    """Digest, left reach and bytes of the context of the anchor at ``at`` in the text raw[a:b]."""
+    lo = max(a, at - (LENGTH - GRAM))
+    text = raw[lo : min(b, at + LENGTH)]
+    return blake2b(text, digest_size=16, salt=(at - lo).to_bytes(2, "big")).digest(), at - lo, text
 
 
 def _contexts(marked: DataFrame) -> DataFrame:
-    """Contexts at the marked places (node, text, places): one row per context and batch, its bytes once a batch."""
+    """Contexts at the marked places (node, text, places) by digest: one row per context and batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        most = LENGTH - GRAM
         for batch in batches:
             data, offsets = as_binary(batch.column(1))
             raw = data.tobytes()
@@ -253,13 +265,12 @@ def _contexts(marked: DataFrame) -> DataFrame:
             for i, places in enumerate(batch.column(2).to_pylist()):
                 a, b = int(offsets[i]), int(offsets[i + 1])
                 for p in places:
-                    at = a + p["at"]
-                    lo = max(a, at - most)
-                    text = raw[lo : min(b, at + LENGTH)]
-                    key = blake2b(text, digest_size=16, salt=(at - lo).to_bytes(2, "big")).digest()
+                    if a + p["at"] + GRAM > b:
+                        continue  # a place of another text with this short key
+                    key, reach, text = _context(raw, a, b, a + p["at"])
                     k = number.setdefault(key, len(number))
                     if k == len(rows):
-                        rows.append((p["anchor"], key, at - lo, text))
+                        rows.append((p["anchor"], key, reach, len(text)))
                     group.append(k)
                     which.append(i)
                     where.append(p["at"])
@@ -269,13 +280,32 @@ def _contexts(marked: DataFrame) -> DataFrame:
             )
             ends = np.concatenate([[0], np.cumsum(np.bincount(np.array(group, np.int64), minlength=len(rows)))])
             columns = list(zip(*rows)) or [()] * 4
-            types = (pa.int64(), pa.binary(), pa.int32(), pa.binary())
+            types = (pa.int64(), pa.binary(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, t) for c, t in zip(columns, types)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), struct)],
-                ["anchor", "context", "reach", "bytes", "uses"],
+                ["anchor", "context", "reach", "size", "uses"],
             )
 
-    return marked.select("node", "text", "places").mapInArrow(run, CONTEXT)
+    return marked.select("node", "text", "places").mapInArrow(run, USES)
+
+
+def _bytes(wanted: DataFrame) -> DataFrame:
+    """Bytes of contexts from one of their places: wanted (text, places: anchor, context, at, often)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = as_binary(batch.column(0))
+            raw = data.tobytes()
+            rows = []
+            for i, places in enumerate(batch.column(1).to_pylist()):
+                for p in places:
+                    _, reach, text = _context(raw, int(offsets[i]), int(offsets[i + 1]), int(offsets[i]) + p["at"])
+                    rows.append((p["anchor"], p["context"], reach, text, p["often"]))
+            columns = list(zip(*rows)) or [()] * 5
+            types = (pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["anchor", "context", "reach", "bytes", "often"])
+
+    return wanted.select("text", "places").mapInArrow(run, "anchor long, context binary, reach int, bytes binary, often boolean")
 
 
 def _sorted_twins(contexts: DataFrame, tasks: int) -> DataFrame:
@@ -322,23 +352,31 @@ def repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     found = materialize(_anchor_rows(docs), "suffix-anchors")
     twice = found.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
-    places = materialize(found.join(twice, "anchor").select("node", "anchor", "at"), "suffix-places")
+    places = materialize(found.join(twice, "anchor").select("short", "anchor", "at"), "suffix-places")
     forget(found)
-    places = places.groupBy("node").agg(F.collect_set(F.struct("anchor", "at")).alias("places"))
-    texts = docs.select(text_key(F.col("text")).alias("node"), "text")
-    marked = texts.join(places, "node").groupBy("node").agg(F.first("text").alias("text"), F.first("places").alias("places"))
+    by_text = places.groupBy("short").agg(F.collect_set(F.struct("anchor", "at")).alias("places"))
+    texts = docs.select(short_key(F.col("text")).alias("short"), text_key(F.col("text")).alias("node"), "text")
+    marked = materialize(texts.join(by_text, "short").groupBy("node").agg(F.first("text").alias("text"), F.first("places").alias("places")), "suffix-texts")
+    forget(places)
     held = materialize(_contexts(marked), "suffix-contexts")
-    one = held.groupBy("anchor", "context", "reach").agg(F.sum(F.size("uses")).alias("k"), F.first("bytes").alias("bytes"))
-    one = materialize(one.select("anchor", "context", "reach", "bytes", (F.col("k") > 1).alias("often")), "suffix-distinct")
-    crowd = one.groupBy("anchor").agg(F.count("*").alias("m")).cache()
-    total = crowd.agg(F.sum("m")).first()[0] or 0
+    one = held.groupBy("anchor", "context", "reach", "size").agg(F.sum(F.size("uses")).alias("k"), F.min(F.element_at("uses", 1)).alias("place"))
+    one = materialize(one.select("anchor", "context", "reach", "size", (F.col("k") > 1).alias("often"), "place"), "suffix-distinct")
+    crowd = materialize(one.groupBy("anchor").agg(F.count("*").alias("m")), "suffix-crowds")
+    # an anchor with one context: all that can be said is how often it stands
+    alone = one.join(crowd.where("m = 1"), "anchor", "left_semi").where(f"often and size >= {LENGTH}")
+    got = alone.select("context", F.greatest(F.lit(0), LENGTH - (F.col("size") - F.col("reach"))).alias("least"), F.least(F.lit(LENGTH - GRAM), F.col("reach")).alias("greatest"))
+    mixed = one.join(crowd.where("m > 1"), "anchor", "left_semi")
+    wanted = mixed.groupBy(F.col("place.node").alias("node")).agg(F.collect_list(F.struct("anchor", "context", F.col("place.at").alias("at"), "often")).alias("places"))
+    pieces = materialize(_bytes(marked.select("node", "text").join(wanted, "node")), "suffix-bytes")
+    forget(marked)
+    total = crowd.where("m > 1").agg(F.sum("m")).first()[0] or 0
     hot = crowd.where(F.col("m") > HOT).select("anchor")
     tasks = max(1, min(partitions(spark), -(-total // 2000)), -(-total // TASK_CONTEXTS))
-    got = _sorted_twins(one.join(hot, "anchor", "left_anti"), tasks)
+    got = got.unionByName(_sorted_twins(pieces.join(hot, "anchor", "left_anti"), tasks))
     if hot.limit(1).count():
-        got = got.unionByName(_counted_twins(one.join(hot, "anchor", "left_semi")))
-    crowd.unpersist()
+        got = got.unionByName(_counted_twins(pieces.join(hot, "anchor", "left_semi")))
     got = materialize(got, "suffix-twins")
+    forget(pieces)
     covers = held.select("context", F.explode("uses").alias("u")).join(got, "context").select(
         "u.node", (F.col("u.at") - F.col("greatest")).alias("start"), (F.col("u.at") - F.col("least") + LENGTH).alias("stop")
     )
