@@ -62,7 +62,7 @@ def hints(bigrams: list[str], dice: float = DICE) -> list[str]:
     (those of licensing first) are taken until fewer bigrams without them remain, then
     whole bigrams.
     """
-    need = dice / (2 - dice) * len(bigrams)
+    need = dice / (2 - dice) * len(bigrams) - 1e-9
     left, chosen = set(bigrams), []
     words = {w for b in bigrams for w in b.split() if len(w) >= 7}
     for word in sorted(words, key=lambda w: ("licens" not in w, -len(w), w)):
@@ -109,7 +109,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, *, dice: float = DICE) -> DataFra
     found = likely.select("doc_id", "row", F.explode(every).alias("u")).select("doc_id", "row", "u.*")
     words = found.where(F.lower("part").rlike(hint)).withColumn("words", F.split(normalised(F.col("part")), " ")).drop("part")
     shaped = words.withColumn("bigrams", _bigrams(F.col("words"))).withColumn("n", F.size("bigrams")).where("n > 0").drop("words")
-    low, high = dice / (2 - dice), (2 - dice) / dice
+    low, high = dice / (2 - dice) - 1e-9, (2 - dice) / dice + 1e-9  # bounds are inclusive whatever the rounding
     largest, least = max(map(len, grams.values())), min(map(len, grams.values()))
     shaped = shaped.where((F.col("n") >= low * least) & (F.col("n") <= high * largest))
     hits = shaped.withColumn("bigram", F.explode("bigrams")).drop("bigrams").join(index, "bigram")
