@@ -43,7 +43,7 @@ GRAM = 40
 #: Bytes that quicksort looks at behind the anchor before blind tries take over.
 SHALLOW = 16
 #: Contexts of a sorting task, and of one anchor before it is split by window.
-TASK_CONTEXTS, HOT = 16_000, 8_000
+TASK_CONTEXTS, HOT = 16_000, 60_000
 
 
 def _sliding(x: np.ndarray, width: int, op: np.ufunc, fill: int) -> np.ndarray:
