@@ -35,11 +35,11 @@ def components(links: DataFrame) -> DataFrame:
         forget(large)
         current = small
         # a forest of stars: no root hangs below another and no node has two roots
-        roots = current.select(F.col("lo").alias("hi")).distinct()
-        unfinished = current.join(roots, "hi", "left_semi").limit(1).count()
-        if not unfinished:
-            twice = current.groupBy("hi").agg(F.count("*").alias("k")).where("k > 1").limit(1).count()
-            if not twice:
-                break
+        ends = current.select(F.col("hi").alias("n"), F.lit(1).alias("below"), F.lit(0).alias("root")).unionByName(
+            current.select(F.col("lo").alias("n"), F.lit(0).alias("below"), F.lit(1).alias("root"))
+        )
+        ends = ends.groupBy("n").agg(F.sum("below").alias("below"), F.max("root").alias("root"))
+        if not ends.where("below > 1 or (below = 1 and root = 1)").limit(1).count():
+            break
     nodes = current.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
     return nodes.unionByName(current.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())

@@ -9,11 +9,13 @@ levels of two bags give equal points. A register keeps its earliest point; two b
 agree in a register with the probability of their weighted Jaccard similarity.
 
 Search: equal texts are one node. Bands of ``ROWS`` registers make buckets; every
-member of a bucket is verified against the bucket's first node. Where the links so
-found leave a bucket in several components, pairs across them whose registers agree
-often enough are verified too (large buckets in pairs of blocks), so links that meet in
-a bucket aren't lost, and a bucket of copies costs one pair a member. Verification
-compares whole multisets of shingles.
+member of a bucket is verified against the bucket's first node, then, where that leaves
+a bucket in several components, against its centre. What is still apart is compared
+across components inside tasks, large buckets in pairs of blocks: pairs whose registers
+agree often enough are verified until the components are joined, and only links leave
+the task. So links that meet in a bucket aren't lost, pairs are never written, and a
+bucket of copies costs a pair or two a member. Verification compares whole multisets of
+shingles.
 
 Cases: words are runs without ASCII white space, ASCII letters folded; a text of 1 to 4
 words is one shingle; null and empty texts are equal texts and no near-duplicates of
@@ -187,33 +189,107 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity_at_least: float) ->
     return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs of a bucket's members in different components whose registers agree; blocks of a bucket by two."""
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("m"), F.countDistinct("component").alias("parts")).where("parts > 1")
-    wide = members.join(sizes.select("bucket", F.expr(f"cast(ceil(m / {BLOCK_ROWS}) as int)").alias("k")), "bucket")
-    mine = wide.withColumn("i", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+def _open_buckets(members: DataFrame, found: DataFrame, distinct: bool) -> DataFrame:
+    """Members (bucket, band, node, n, component) of buckets that three nodes or more share and several components.
+
+    distinct: of buckets with the same members (bands often agree) one stays.
+    """
+    named = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sets = named.groupBy("bucket").agg(
+        F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.pmod(F.xxhash64("n", "node"), F.lit(1 << 40))).alias("y"),
+    ).where("m > 2 and lo <> hi")
+    if distinct:
+        sets = sets.groupBy("m", "x", "y").agg(F.min("bucket").alias("bucket"))
+    return named.join(sets.select("bucket", "m"), "bucket").select("bucket", "band", "m", "node", "n", "component")
+
+
+def _centres(members: DataFrame) -> DataFrame:
+    """Of every bucket the node whose registers agree most with those that its block has most often.
+
+    Copies of one text agree with each other less than with the text; it stands out so.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint32).reshape(-1, REGISTERS)
+        usual = np.zeros(REGISTERS, np.uint32)
+        for r in range(REGISTERS):
+            value, count = np.unique(sig[:, r], return_counts=True)
+            usual[r] = value[count.argmax()]
+        score = (sig == usual).sum(1)
+        k = int(score.argmax())
+        return pa.table({"bucket": group.column("bucket")[:1], "score": pa.array([int(score[k])], pa.int32()), "node": group.column("node").take([k])})
+
+    dealt = members.withColumn("i", F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / BLOCK_ROWS)).cast("int"))
+    best = dealt.groupBy("bucket", "i").applyInArrow(run, "bucket long, score int, node binary")
+    return best.groupBy("bucket").agg(F.max(F.struct("score", "node")).alias("c")).select("bucket", F.col("c.node").alias("centre"))
+
+
+def _overlaps(bags_: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Shared shingles (with repeats) of rows x and rows y of bags, all pairs, by matrix products over blocks of shingles."""
+    # the k-th occurrence of a shingle is an element of its own: shared counts become set sizes
+    expand = [np.repeat(h, w) ^ mix(np.concatenate([np.arange(k) for k in w] or [np.zeros(0, int)]).astype(np.uint64)) for h, w in bags_]
+    flat, row = np.concatenate(expand), np.repeat(np.arange(len(bags_)), [len(e) for e in expand])
+    element, number, count = np.unique(flat, return_inverse=True, return_counts=True)
+    common = np.cumsum(count > 1) - 1
+    kept = count[number] > 1
+    row, number = row[kept], common[number[kept]]
+    order = np.argsort(number, kind="stable")
+    row, number = row[order], number[order]
+    total = np.zeros((len(x), len(y)), np.float32)
+    for at in range(0, int(common[-1]) + 1 if len(common) else 0, 4096):
+        lo, hi = np.searchsorted(number, [at, at + 4096])
+        part = np.zeros((len(bags_), 4096), np.float32)
+        part[row[lo:hi], number[lo:hi] - at] = 1
+        total += part[x] @ part[y].T
+    return total
+
+
+def _within(members: DataFrame, similarity_at_least: float) -> DataFrame:
+    """Links across the components of buckets, verified in place; they span what they join.
+
+    members (bucket, band, m, node, n, sig, component, text). A pair is tried in the first
+    band that it meets in, if its registers agree often enough. Members of a block's
+    largest component are compared with others only.
+    """
+    mine = members.withColumn("k", F.ceil(F.col("m") / BLOCK_ROWS).cast("int")).withColumn("i", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
     dealt = mine.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
-        "bucket", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), (F.col("i") <= F.col("j")).alias("first"), (F.col("i") >= F.col("j")).alias("second"), "node", "n", "sig", "component"
+        "bucket", "band", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), (F.col("i") <= F.col("j")).alias("one"), (F.col("i") >= F.col("j")).alias("two"), "node", "n", "sig", "component", "text"
     )
 
     def run(group: pa.Table) -> pa.Table:
-        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint32).reshape(-1, REGISTERS)
+        nothing = pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
+        number: dict[bytes, int] = {}
+        part = np.array([number.setdefault(c, len(number)) for c in group.column("component").to_pylist()])
+        if len(number) == 1:
+            return nothing
+        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint32).reshape(len(group), REGISTERS)
         n = group.column("n").to_numpy().astype(np.float64)
-        name = group.column("component").to_pylist()
-        number = {c: i for i, c in enumerate(dict.fromkeys(name))}
-        part = np.array([number[c] for c in name])
-        node = group.column("node").to_pylist()
-        first, second = (np.flatnonzero(group.column(c).to_numpy(zero_copy_only=False)) for c in ("first", "second"))
-        a, b = [], []
-        for x in first.tolist():
-            y = second[(part[second] != part[x]) & (np.minimum(n[second], n[x]) >= SIMILARITY * np.maximum(n[second], n[x]))]
-            y = y[(sig[y] == sig[x]).sum(1) >= AGREEMENT * REGISTERS]
-            a += [node[x]] * len(y)
-            b += [node[k] for k in y.tolist()]
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-    found = dealt.groupBy("bucket", "i", "j").applyInArrow(run, "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        band = group.column("band")[0].as_py()
+        one, two = (group.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("one", "two"))
+        other = part != np.bincount(part).argmax()
+        pairs_x, pairs_y = [], []
+        for x in np.flatnonzero(other).tolist():
+            y = np.flatnonzero(((one if two[x] else two) | (two if one[x] else one)) & (part != part[x]) & (np.minimum(n, n[x]) >= similarity_at_least * np.maximum(n, n[x])))
+            same = sig[y] == sig[x]
+            y = y[(same.sum(1) >= AGREEMENT * REGISTERS) & (same.reshape(len(y), REGISTERS // ROWS, ROWS).all(2).argmax(1) == band)]
+            pairs_x.append(np.full(len(y), x))
+            pairs_y.append(y)
+        px, py = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in (pairs_x, pairs_y))
+        if not len(px):
+            return nothing
+        texts, used = group.column("text"), np.unique(np.concatenate([px, py]))
+        bags_ = [np.unique(shingles(next(blocks(texts.slice(int(k), 1))))[0], return_counts=True) for k in used]
+        ux, uy = np.unique(px), np.unique(py)
+        shared = _overlaps(bags_, np.searchsorted(used, ux), np.searchsorted(used, uy))[np.searchsorted(ux, px), np.searchsorted(uy, py)]
+        good = shared >= similarity_at_least * (n[px] + n[py] - shared)
+        px, py = px[good], py[good]
+        # one link for each pair of components
+        _, at = np.unique(np.minimum(part[px], part[py]) * len(number) + np.maximum(part[px], part[py]), return_index=True)
+        node = group.column("node").combine_chunks()
+        return pa.table({"a": node.take(pa.array(px[at])), "b": node.take(pa.array(py[at]))})
+
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(run, "a binary, b binary")
 
 
 def classes(docs: DataFrame, *, similarity_at_least: float = SIMILARITY) -> DataFrame:
@@ -225,7 +301,7 @@ def classes(docs: DataFrame, *, similarity_at_least: float = SIMILARITY) -> Data
     bands = REGISTERS // ROWS
     width = 4 * ROWS
     banded = nodes.select("node", "n", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"), "sig").select(
-        "node", "n", F.xxhash64("band", F.expr(f"substring(sig, band * {width} + 1, {width})")).alias("bucket")
+        "node", "n", "band", F.xxhash64("band", F.expr(f"substring(sig, band * {width} + 1, {width})")).alias("bucket")
     )
     heads = banded.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("m")).where("m > 1").select("bucket", F.col("head.node").alias("head"), F.col("head.n").alias("head_n"))
     members = materialize(banded.join(heads, "bucket"), "minhash-buckets")
@@ -235,15 +311,23 @@ def classes(docs: DataFrame, *, similarity_at_least: float = SIMILARITY) -> Data
     texts = docs.select(text_key(F.col("text")).alias("node"), "text").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     texts = materialize(texts, "minhash-texts")
     links = materialize(verified(tested, texts, similarity_at_least), "minhash-links")
-    found = components(links)
-    labelled = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-    across = labelled.join(mixed, "bucket", "left_semi").select("bucket", "node", "n", "component")
-    if not across.limit(1).count() == 0:
-        again = _across(materialize(across, "minhash-across").join(nodes.select("node", "sig"), "node"))
-        again = materialize(again.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
-        more = verified(again, texts, similarity_at_least)
-        found = components(links.unionByName(more))
+    # who hangs on one first node belongs together; whole components come later
+    hung = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
+    found, left = None, materialize(_open_buckets(members, hung, True), "minhash-open")
+    if left.limit(1).count():
+        signs = nodes.select("node", "sig")
+        centres = _centres(left.join(signs, "node"))
+        again = left.join(centres, "bucket").where("node <> centre")
+        size = again.join(nodes.select(F.col("node").alias("centre"), F.col("n").alias("cn")), "centre").where(f"least(n, cn) >= {similarity_at_least} * greatest(n, cn)")
+        more = size.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+        links = links.unionByName(materialize(verified(more, texts, similarity_at_least), "minhash-links"))
+        found = components(links)
+        left = materialize(_open_buckets(members, found, False), "minhash-open")
+        if left.limit(1).count():
+            last = _within(left.join(signs, "node").join(texts, "node"), similarity_at_least)
+            found = components(links.unionByName(materialize(last, "minhash-links")))
+    if found is None:
+        found = components(links)
     named = rows.select("doc_id", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
     out = materialize(named, "minhash-named").join(least, "component")
