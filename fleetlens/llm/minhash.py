@@ -19,7 +19,7 @@ shingles.
 
 Cases: words are runs without ASCII white space, ASCII letters folded; a text of 1 to 4
 words is one shingle; null and empty texts are equal texts and no near-duplicates of
-others; rows with equal ids are separate; null ids come last as representatives.
+others; rows with equal or null ids are separate; null ids come last as representatives.
 """
 
 from __future__ import annotations
@@ -293,9 +293,12 @@ def _within(members: DataFrame, similarity_at_least: float) -> DataFrame:
 
 
 def classes(docs: DataFrame, *, similarity_at_least: float = SIMILARITY) -> DataFrame:
-    """doc_id, node, class_id (the smallest doc_id of the class) and kept, one row per document."""
+    """doc_id, node, class_id (the smallest doc_id of the class) and kept, one row per document.
+
+    One row of each class is kept; classes can share a class_id, as ids may be null or repeat.
+    """
     spark = docs.sparkSession
-    rows = materialize(signed(docs), "minhash-signatures")
+    rows = materialize(signed(docs).withColumn("row", F.monotonically_increasing_id()), "minhash-signatures")
     nodes = rows.where("sig is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig"))
     nodes = materialize(nodes, "minhash-nodes")
     bands = REGISTERS // ROWS
@@ -328,15 +331,16 @@ def classes(docs: DataFrame, *, similarity_at_least: float = SIMILARITY) -> Data
             found = components(links.unionByName(materialize(last, "minhash-links")))
     if found is None:
         found = components(links)
-    named = rows.select("doc_id", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    out = materialize(named, "minhash-named").join(least, "component")
-    return out.select("doc_id", "node", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    named = rows.select("row", "doc_id", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = materialize(named, "minhash-named")
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "row")).alias("first"))
+    out = named.join(first, "component")
+    return out.select("doc_id", "node", F.col("first.doc_id").alias("class_id"), (F.col("row") == F.col("first.row")).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """One document of each class, the one with the smallest id, with its own columns."""
-    kept = classes(docs, **options).where("kept").groupBy("class_id").agg(F.min("node").alias("__node")).withColumnRenamed("class_id", "__id")
+    kept = classes(docs, **options).where("kept").select(F.col("node").alias("__node"), F.col("doc_id").alias("__id"))
     named = docs.withColumn("__key", text_key(F.col("text")))
     joined = named.join(kept, F.col("__key").eqNullSafe(F.col("__node")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
     return joined.dropDuplicates(["__key", "doc_id"]).select(*docs.columns)

@@ -91,6 +91,19 @@ def test_near_dedup_of_awkward_tables(spark):
     assert minhash.classes(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_near_dedup_chooses_a_row_per_class(spark):
+    rng = random.Random(11)
+    text = lambda: " ".join(rng.choices(WORDS, k=60))
+    copy = text()
+    rows = [(None, text()) for _ in range(20)] + [(7, text()), (7, text()), (8, copy), (8, copy), (9, copy), (None, copy), (5, None), (None, "")]
+    rows += [(None, t) for t in [text()] * 3]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Counter([(d, t) for d, t in rows[:22]] + [(8, copy), (5, None), rows[-1]])
+    assert Counter((r.doc_id, r.text) for r in minhash.deduplicated(df).collect()) == want
+    got = minhash.classes(df).collect()
+    assert len(got) == len(rows) and Counter(r.doc_id for r in got if r.kept) == Counter(d for d, _ in want.elements())
+
+
 def covered(texts, length):
     places = {}
     for i, t in enumerate(texts):
