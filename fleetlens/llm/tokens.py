@@ -6,11 +6,15 @@ visible characters; a letter or digit before a punctuation mark other than the
 apostrophe) split a block of documents into segments with array operations; equal
 segments are encoded by the library once and its ids reused. The ids are those of
 ``encode(text, add_special_tokens=False)``: tests compare both on random Unicode.
-Strings of special tokens in a text count as ordinary text.
+Where a text holds the string of an added token (``<|endoftext|>``), the library gives
+that token's id and encodes what stands before and after on its own; each such string
+is a segment.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from tokenizers import Tokenizer
 
@@ -35,7 +39,12 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word or (t.normalized and self.tokenizer.normalizer) for t in added):
+            raise ValueError(f"{path}: added tokens that depend on the text around them")
+        self.added = [t.content.encode() for t in added]
+        # as the library: the leftmost one, of several there the longest
+        self.marker = re.compile(b"|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)))
         self._clear()
 
     def _clear(self) -> None:
@@ -61,6 +70,13 @@ class Encoder:
             self.used = int(ends[-1])
             self.known.update(zip(part, range(n, n + len(part))))
 
+    def _markers(self, raw: bytes, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """Places of added tokens within the documents of a block."""
+        if not any(t in raw for t in self.added):
+            return []
+        edges = offsets.tolist()
+        return [m.span() for a, b in zip(edges[:-1], edges[1:]) for m in self.marker.finditer(raw, a, b)]
+
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block, and each document's first (one more than documents)."""
         data, docs = block.data, len(block.offsets) - 1
@@ -84,11 +100,14 @@ class Encoder:
         cut[1:n] |= _LETTER_DIGIT[data[:-1]] & _PUNCT[data[1:]]
         # an accented letter before a punctuation mark (0xC3 0x97 and 0xC3 0xB7 are signs)
         cut[2:n] |= (data[:-2] == 0xC3) & (data[1:-1] != 0x97) & (data[1:-1] != 0xB7) & _PUNCT[data[2:]]
+        raw = data.tobytes()
+        for a, b in self._markers(raw, block.offsets):
+            cut[a + 1 : b] = False
+            cut[a] = cut[b] = True
         edge = np.flatnonzero(cut)
         start, end = edge[:-1], edge[1:]
         key = range_hash(prefix_hash(data), start, end)
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        raw = data.tobytes()
         segment = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
         if len(self.known) + len(segment) > CACHE_SEGMENTS:
             self._clear()

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from fleetlens.llm import licenses, media, mixing, packing, quality, token_store, urls
 from fleetlens.llm._spark import fresh_path
@@ -29,6 +30,25 @@ def test_ids_are_the_librarys(texts):
             assert enc.tokenizer.encode(texts[b.first + i], add_special_tokens=False).ids == ids[first[i] : first[i + 1]].tolist()
 
 
+MARKED = ["<|endoftext|>", "<|endoftext|>", "<|endof", "text|>", "<|", "|>", "<", "a", "é", "'s", " ", "\n", "  ", ".", "7", "\t", "日"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(MARKED), max_size=12).map("".join), max_size=8))
+def test_added_tokens_are_the_unmodified_librarys(texts):
+    plain, enc = Tokenizer.from_file(vocabulary()), encoder(vocabulary())
+    for b in blocks(pa.array(texts, pa.string()), 60):
+        ids, first = enc.encode(b)
+        for i in range(len(first) - 1):
+            assert plain.encode(texts[b.first + i], add_special_tokens=False).ids == ids[first[i] : first[i + 1]].tolist()
+
+
+def test_ids_of_an_added_token_by_name():
+    texts = ["a <|endoftext|> b", "a <|endof", "text|> b"]
+    ids, first = encoder(vocabulary()).encode(next(blocks(pa.array(texts, pa.string()))))
+    assert ids[: first[1]].tolist() == [64, 220, 50256, 275] and 50256 not in ids[first[1] :]
+
+
 def expected_ids(texts):
     enc = encoder(vocabulary()).tokenizer
     return [[*enc.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
