@@ -8,7 +8,7 @@ columns of ``documents``.
 2. MinHash near-dedup: one document of each group of near copies stays;
 3. suffix-array dedup: repeats of 200 bytes or more are cut out of texts;
 4. mixing: documents are repeated or dropped until sources meet their weights;
-5. best-fit packing: texts become token pieces with a place in a sequence.
+5. best-fit packing: texts become token pieces, with their ids and a place in a sequence.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, keep_ids=False)
+    return packing.pack(docs)
 
 
 STAGES = [

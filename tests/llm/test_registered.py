@@ -3,10 +3,13 @@
 import os
 
 import duckdb
+import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from fleetlens import llm
+from fleetlens.llm.tokens import vocabulary
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data here")
@@ -38,5 +41,15 @@ def test_pipeline(spark):
     assert len({(r.sequence_id, r.offset) for r in docs.select("sequence_id", "offset").collect()}) == counts[-1]
 
 
+def test_packed_sequences_hold_their_ids(spark):
+    texts = {1: "one two <|endoftext|> three", 2: "four " * 1500, 3: ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {}
+    for r in corpus_pipeline.pack_sequences(spark, docs, DATA).collect():
+        got.setdefault(r.doc_id, []).append((r.start, np.frombuffer(r.ids, "<u4").tolist()))
+    plain = Tokenizer.from_file(vocabulary())
+    assert {d: sum((ids for _, ids in sorted(rs)), []) for d, rs in got.items()} == {d: [*plain.encode(t, add_special_tokens=False).ids, 2] for d, t in texts.items()}
+
+
 def test_queries_are_whole():
     assert sorted(int(n[2:].split("_")[0]) for n in llm.QUERIES) == list(range(1, 11))
