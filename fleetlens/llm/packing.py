@@ -25,11 +25,10 @@ from pyspark.sql import functions as F
 
 from ._spark import materialize, table
 from ._vec import blocks
-from .tokens import encoder, vocabulary
+from .tokens import TOKEN_BLOCK, encoder, vocabulary
 
 CAPACITY = 1024
 END_ID = 2
-TOKEN_BLOCK = 4 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 

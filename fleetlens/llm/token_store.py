@@ -10,13 +10,18 @@ passages give equal chunks wherever they stand. Layout of a store folder:
               order; ``chunks`` lists hashes and lengths, ``root`` hashes them.
 ``manifest``  (part, first, docs, tokens, root): a Merkle tree over document roots
               with nodes of ``FANOUT`` children; ``first`` is the id position of the part.
+``root``      (root): the tree goes on over the parts up to a single root.
 
-Reading checks every body against its hash and every manifest against its recipes.
-A task reports one row per hash and block of texts, so a chunk that a third of all
-documents share is not a hot group of the shuffle.
+Every way of reading verifies: bodies against their hashes, each document's root and
+length against its chunks, the manifest and the single root against the recipes; a
+missing body, a swapped chunk or a lost recipe makes the read fail.
+A task reports one row per hash and block of texts. Only rows with a body meet by hash,
+at most one per hash and task and with few uses; a chunk that a third of all documents
+share is no hot group when written, and when read its uses are split by the skew join.
 
 Cases: a null or empty text is its end id alone; rows of equal doc_id are stored in
-file order; null doc_id comes first; an empty table gives an empty store.
+file order; null doc_id comes first; an empty table gives an empty store; other columns
+do not matter.
 """
 
 from __future__ import annotations
@@ -34,14 +39,18 @@ from pyspark.sql import functions as F
 
 from ._spark import fresh_path, partitions, table
 from ._vec import blocks, prefix_hash, range_hash
-from .packing import END_ID, TOKEN_BLOCK, with_end
-from .tokens import encoder, vocabulary
+from .packing import END_ID, with_end
+from .tokens import TOKEN_BLOCK, encoder, vocabulary
 
 WINDOW = 16
 MEAN_IDS, LEAST_IDS, MOST_IDS = 512, 128, 2048
 FANOUT = 1024
 #: Hashes a task remembers so as to send a body once; beyond, it starts anew.
-SEEN = 500_000
+SEEN = 200_000
+#: Uses that travel with a body; further ones of a block form a row of their own.
+USES = 16
+#: Groups among which rows without a body are dealt.
+SALTS = 4096
 
 CHUNKS = "hash binary, n int, body binary, uses array<struct<doc_id:bigint,row:bigint,idx:int>>"
 
@@ -110,9 +119,22 @@ def chunks(docs: DataFrame, *, end_id: int = END_ID, path: str | None = None) ->
                     ],
                     ["doc_id", "row", "idx"],
                 )
-                ends = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=len(hashes)))])
+                uses = np.bincount(group, minlength=len(hashes))
+                # a body takes few uses along; the rest of a frequent chunk goes without it
+                more = np.flatnonzero((uses > USES) & np.array([x is not None for x in bodies], bool))
+                source = np.sort(np.concatenate([np.arange(len(hashes)), more]))
+                second = np.append(False, source[1:] == source[:-1])
+                length = uses[source]
+                length[second] -= USES
+                length[:-1][second[1:]] = USES
+                at = source.tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes, pa.binary()), pa.array(lengths, pa.int32()), pa.array(bodies, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), struct)],
+                    [
+                        pa.array([hashes[k] for k in at], pa.binary()),
+                        pa.array([lengths[k] for k in at], pa.int32()),
+                        pa.array([None if again else bodies[k] for k, again in zip(at, second.tolist())], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), struct),
+                    ],
                     ["hash", "n", "body", "uses"],
                 )
             row += len(batch)
@@ -139,33 +161,70 @@ def _manifest(recipes: DataFrame) -> DataFrame:
     return parts.withColumn("first", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
 
 
+def _top(manifest: DataFrame) -> DataFrame:
+    """The single root: nodes of FANOUT parts, then one over the nodes; each part with its place."""
+    leaf = F.sha2(F.concat_ws(":", "part", "first", "docs", "tokens", "root").cast("binary"), 256)
+    nodes = manifest.withColumn("leaf", leaf).groupBy(F.expr(f"part div {FANOUT}").alias("node")).agg(
+        _root(F.sort_array(F.collect_list(F.struct("part", "leaf"))), lambda x: x["leaf"]).alias("root")
+    )
+    return nodes.agg(_root(F.sort_array(F.collect_list(F.struct("node", "root"))), lambda x: x["root"]).alias("root"))
+
+
 def write(docs: DataFrame, path: str, *, end_id: int = END_ID, vocabulary_path: str | None = None) -> None:
     """Encodes documents (doc_id, text) into a store at ``path``."""
     spark = docs.sparkSession
-    once = Window.partitionBy("hash").orderBy(F.col("body").isNull(), F.element_at("uses", 1)["row"])
     found = chunks(docs, end_id=end_id, path=vocabulary_path)
-    found.withColumn("__n", F.row_number().over(once)).withColumn("body", F.when(F.col("__n") == 1, F.col("body"))).drop("__n").write.parquet(f"{path}/chunks")
+    first_row = F.get("uses", F.lit(0))["row"]
+    salt = F.when(F.col("body").isNull(), F.pmod(F.xxhash64(first_row), F.lit(SALTS))).otherwise(-1)
+    once = Window.partitionBy("hash", "__salt").orderBy("__row")
+    placed = found.withColumn("__salt", salt).withColumn("__row", first_row).withColumn("__n", F.row_number().over(once))
+    placed.withColumn("body", F.when(F.col("__n") == 1, F.col("body"))).drop("__n", "__row", "__salt").write.parquet(f"{path}/chunks")
     used = spark.read.parquet(f"{path}/chunks").select("hash", "n", F.explode("uses").alias("u"))
     listed = used.groupBy(F.col("u.doc_id").alias("doc_id"), F.col("u.row").alias("row")).agg(
         F.sort_array(F.collect_list(F.struct(F.col("u.idx").alias("idx"), "hash", "n"))).alias("chunks")
     )
     ordered = (
-        listed.withColumn("n_tokens", F.aggregate("chunks", F.lit(0).cast("long"), lambda a, x: a + x["n"]))
-        .withColumn("root", _root(F.col("chunks"), lambda x: F.hex(x["hash"])))
+        listed.withColumn("n_tokens", _tokens(F.col("chunks")))
+        .withColumn("root", _document_root(F.col("chunks")))
         .repartitionByRange(partitions(spark), "doc_id", "row")
         .sortWithinPartitions("doc_id", "row")
     )
     numbered = ordered.withColumn("part", F.spark_partition_id()).withColumn("pos", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
     numbered.write.parquet(f"{path}/recipes")
     _manifest(spark.read.parquet(f"{path}/recipes")).write.parquet(f"{path}/manifest")
+    _top(spark.read.parquet(f"{path}/manifest")).write.parquet(f"{path}/root")
+
+
+def _tokens(chunks_: F.Column) -> F.Column:
+    return F.aggregate(chunks_, F.lit(0).cast("long"), lambda a, x: a + x["n"])
+
+
+def _document_root(chunks_: F.Column) -> F.Column:
+    return _root(chunks_, lambda x: F.hex(x["hash"]))
+
+
+def _verified_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(part, first) of parts that follow from their recipes and lead to the single root; fails otherwise."""
+    again = _manifest(spark.read.parquet(f"{path}/recipes")).select("part", F.struct("docs", "tokens", "root", "first").alias("again"))
+    saved = spark.read.parquet(f"{path}/manifest").select("part", F.struct("docs", "tokens", "root", "first").alias("saved"))
+    top = spark.read.parquet(f"{path}/root").select(F.col("root").alias("top"))
+    single = _top(spark.read.parquet(f"{path}/manifest")).select(F.col("root").alias("top_again"))
+    tops = single.join(top, F.lit(True), "full_outer")  # one row on either side
+    both = again.join(saved, "part", "full_outer").join(F.broadcast(tops), F.lit(True), "left")
+    sound = F.col("again").eqNullSafe(F.col("saved")) & F.col("top").eqNullSafe(F.col("top_again"))
+    return both.select("part", F.when(sound, F.col("saved.first")).otherwise(F.raise_error(F.concat(F.lit("store manifest does not match its recipes: part "), "part"))).alias("first"))
 
 
 def recipes(spark: SparkSession, path: str) -> DataFrame:
-    """Recipes with ``start``, the ids of all documents before it."""
+    """Verified recipes with ``start``, the ids of all documents before it."""
     inside = Window.partitionBy("part").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    r = spark.read.parquet(f"{path}/recipes").withColumn("__in", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-    first = spark.read.parquet(f"{path}/manifest").select("part", "first")
-    return r.join(first, "part").withColumn("start", F.col("first") + F.col("__in")).drop("__in", "first")
+    sound = (F.col("root") == _document_root(F.col("chunks"))) & (F.col("n_tokens") == _tokens(F.col("chunks")))
+    r = spark.read.parquet(f"{path}/recipes")
+    r = r.withColumn("n_tokens", F.when(sound, F.col("n_tokens")).otherwise(F.raise_error(F.concat(F.lit("recipe does not match its root: row "), "row"))))
+    r = r.withColumn("__in", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+    # a part that only one side knows fails in the manifest's own check, which the full join forces
+    whole = r.join(_verified_manifest(spark, path), "part", "full_outer")
+    return whole.where("row is not null").withColumn("start", F.col("first") + F.col("__in")).drop("__in", "first")
 
 
 def damaged(spark: SparkSession, path: str) -> DataFrame:
@@ -174,6 +233,17 @@ def damaged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/manifest").exceptAll(again.select("part", "docs", "tokens", "root", "first")).select("part")
 
 
+def _with_bodies(r: DataFrame, bodies: DataFrame, value: str) -> DataFrame:
+    """Recipes with x, their chunks (idx, value, n) in order; a missing or repeated body fails."""
+    parts = r.select("doc_id", "row", "start", "n_tokens", F.size("chunks").alias("chunks"), F.explode("chunks").alias("c"))
+    parts = parts.select("doc_id", "row", "start", "n_tokens", "chunks", F.col("c.idx").alias("idx"), F.col("c.hash").alias("hash"), F.col("c.n").alias("n"))
+    found = parts.join(bodies, "hash", "left")
+    got = F.when(F.col(value).isNotNull(), F.col(value)).otherwise(F.raise_error(F.concat(F.lit("no body for chunk "), F.hex("hash"))))
+    whole = found.withColumn(value, got).groupBy("doc_id", "row", "start", "n_tokens", "chunks").agg(F.sort_array(F.collect_list(F.struct("idx", value, "n"))).alias("x"))
+    complete = F.when(F.size("x") == F.col("chunks"), F.col("x")).otherwise(F.raise_error(F.concat(F.lit("chunks of row "), "row", F.lit(" are not complete"))))
+    return whole.withColumn("x", complete).drop("chunks")
+
+
 def _body(hash_: bytes, n: int, body: bytes) -> np.ndarray:
     raw = zstandard.ZstdDecompressor().decompress(body)
     if blake2b(raw, digest_size=16).digest() != hash_ or len(raw) not in (2 * n, 4 * n):
@@ -190,9 +260,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("hash"), pa.array(ids, pa.binary())], ["hash", "ids"])
 
     bodies = spark.read.parquet(f"{path}/chunks").where("body is not null").select("hash", "n", "body").mapInArrow(unpack, "hash binary, ids binary")
-    r = recipes(spark, path)
-    parts = r.select("doc_id", "row", "start", "n_tokens", F.explode("chunks").alias("c")).withColumn("hash", F.col("c.hash"))
-    whole = parts.join(bodies, "hash").groupBy("doc_id", "row", "start", "n_tokens").agg(F.sort_array(F.collect_list(F.struct("c.idx", "ids"))).alias("x"))
+    whole = _with_bodies(recipes(spark, path), bodies, "ids")
     return whole.withColumn("ids", F.expr("unhex(array_join(transform(x, y -> hex(y.ids)), ''))")).drop("x")
 
 
@@ -244,9 +312,7 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(total.astype(np.int64))], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     sums = spark.read.parquet(f"{path}/chunks").where("body is not null").select("hash", "n", "body").mapInArrow(crcs, "hash binary, crc long")
-    parts = recipes(spark, path).select("doc_id", "row", "start", "n_tokens", F.explode("chunks").alias("c"))
-    parts = parts.select("doc_id", "row", "start", "n_tokens", "c.idx", "c.hash", "c.n")
-    whole = parts.join(sums, "hash").groupBy("doc_id", "row", "start", "n_tokens").agg(F.sort_array(F.collect_list(F.struct("idx", "crc", "n"))).alias("x"))
+    whole = _with_bodies(recipes(spark, path), sums, "crc")
     return whole.select("doc_id", "start", "n_tokens", "x").mapInArrow(join, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

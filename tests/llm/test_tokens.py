@@ -7,12 +7,14 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fleetlens.llm import licenses, media, mixing, packing, quality, token_store, urls
+from fleetlens.llm import licenses, media, mixing, packing, quality, token_store, tokens, urls
 from fleetlens.llm._spark import fresh_path
 from fleetlens.llm._vec import blocks
 from fleetlens.llm.tokens import encoder, vocabulary
@@ -23,11 +25,11 @@ ODD = list("abcXYZ éßñ×÷012'’s.,!\n\t   　 ​日本語ł🙂|%$\r\x1c\x
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(ODD), max_size=50).map("".join), max_size=8))
 def test_ids_are_the_librarys(texts):
-    enc = encoder(vocabulary())
+    plain, enc = Tokenizer.from_file(vocabulary()), encoder(vocabulary())
     for b in blocks(pa.array(texts, pa.string()), 100):
         ids, first = enc.encode(b)
         for i in range(len(first) - 1):
-            assert enc.tokenizer.encode(texts[b.first + i], add_special_tokens=False).ids == ids[first[i] : first[i + 1]].tolist()
+            assert plain.encode(texts[b.first + i], add_special_tokens=False).ids == ids[first[i] : first[i + 1]].tolist()
 
 
 MARKED = ["<|endoftext|>", "<|endoftext|>", "<|endof", "text|>", "<|", "|>", "<", "a", "é", "'s", " ", "\n", "  ", ".", "7", "\t", "日"]
@@ -49,8 +51,29 @@ def test_ids_of_an_added_token_by_name():
     assert ids[: first[1]].tolist() == [64, 220, 50256, 275] and 50256 not in ids[first[1] :]
 
 
+def test_ids_of_real_texts_with_small_caches(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_SEGMENTS", 300)
+    monkeypatch.setattr(tokens, "CACHE_SLOTS", 512)
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 500)
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"])["text"].combine_chunks()
+    plain, enc = Tokenizer.from_file(vocabulary()), tokens.Encoder(vocabulary())
+    for size in (3_000, 1 << 20):
+        for b in blocks(texts, size):
+            ids, first = enc.encode(b)
+            for i in range(len(first) - 1):
+                assert plain.encode(texts[b.first + i].as_py(), add_special_tokens=False).ids == ids[first[i] : first[i + 1]].tolist()
+
+
+def test_segments_differ_by_length_and_zero_bytes():
+    texts = ["a", "a\0", "a\0\0", "\0a", "aaaaaaaa", "aaaaaaaa\0", "aaaaaaaaa", "b" * 16, "b" * 17, "\0" * 16, "\0" * 8]
+    plain, enc = Tokenizer.from_file(vocabulary()), tokens.Encoder(vocabulary())
+    for _ in range(2):
+        ids, first = enc.encode(next(blocks(pa.array(texts, pa.string()))))
+        assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def expected_ids(texts):
-    enc = encoder(vocabulary()).tokenizer
+    enc = Tokenizer.from_file(vocabulary())
     return [[*enc.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
 
 
@@ -79,16 +102,49 @@ def test_store_round_trip(spark, texts):
     assert c.count() == c.select("hash").distinct().count() < sum(len(ids) for _, ids in want.values()) / token_store.LEAST_IDS + len(texts)
 
 
-def test_store_notices_damage(spark):
+def _swap_chunks(r):
+    return r.withColumn("chunks", F.reverse("chunks"))
+
+
+DAMAGE = {
+    "a lost recipe": ("recipes", lambda r: r.where("doc_id <> 1"), "manifest"),
+    "chunks in another order": ("recipes", _swap_chunks, "root"),
+    "another root": ("recipes", lambda r: r.withColumn("root", F.sha2(F.lit(b"x"), 256)), "root|manifest"),
+    "a changed count": ("recipes", lambda r: r.withColumn("n_tokens", F.col("n_tokens") + 1), "root|manifest"),
+    "a changed manifest": ("manifest", lambda m: m.withColumn("tokens", F.col("tokens") + 1), "manifest"),
+    "a lost manifest": ("manifest", lambda m: m.where("false"), "manifest"),
+    "another single root": ("root", lambda m: m.withColumn("root", F.lit("0")), "manifest"),
+    "a missing body": ("chunks", lambda c: c.where("not array_contains(transform(uses, u -> u.doc_id), 1)"), "no body"),
+    "a body twice": ("chunks", lambda c: c.unionByName(c), "not complete"),
+}
+
+
+@pytest.mark.parametrize("what", DAMAGE)
+def test_reading_a_damaged_store_fails(spark, what):
+    name, change, message = DAMAGE[what]
     path = fresh_path(spark, "store")
-    token_store.write(spark.createDataFrame([(1, "a b c"), (2, "d")], "doc_id long, text string"), path)
-    spark.read.parquet(f"{path}/recipes").where("doc_id = 1").write.parquet(f"{path}/fewer")
-    spark.read.parquet(f"{path}/fewer").write.mode("overwrite").parquet(f"{path}/recipes")
-    assert token_store.damaged(spark, path).count() >= 1
+    words = " ".join(f"w{i * 7919 % 3001}" for i in range(1500))
+    token_store.write(spark.createDataFrame([(1, words), (2, "d")], "doc_id long, text string"), path)
+    change(spark.read.parquet(f"{path}/{name}")).write.parquet(f"{path}/changed")
+    spark.read.parquet(f"{path}/changed").write.mode("overwrite").parquet(f"{path}/{name}")
+    for way in (token_store.read, token_store.digests):
+        with pytest.raises(Exception, match=message):
+            way(spark, path).collect()
+
+
+def test_bodies_are_checked_against_their_hashes():
     with pytest.raises(ValueError, match="hash"):
         token_store._body(b"0" * 16, 1, __import__("zstandard").ZstdCompressor().compress(b"\1\0"))
 
 
+def test_a_frequent_chunk_is_stored_once(spark):
+    path = fresh_path(spark, "store")
+    token_store.write(spark.createDataFrame([(i, "" if i % 3 else None) for i in range(200)] + [(500, "x")], "doc_id long, text string"), path)
+    c = spark.read.parquet(f"{path}/chunks")
+    assert c.where("body is not null").count() == 2 and c.selectExpr("sum(size(uses))").first()[0] == 201
+    assert token_store.digests(spark, path).count() == 201
+
+
 def test_crcs_join():
     rng = np.random.default_rng(0)
     parts = [rng.integers(0, 50_000, n).astype("<u4") for n in (5, 1, 300, 7)]
