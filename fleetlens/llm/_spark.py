@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,13 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor sees: ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a laptop) a folder of our own is made.
+    Only where that setting is absent and the master is local (tests, a laptop) a folder
+    of our own is made.
     """
     set_by_cluster = spark.conf.get("spark.checkpoint.dir", None)
     if set_by_cluster:
         return set_by_cluster.rstrip("/")
     own = spark.sparkContext.getCheckpointDir()
     if own is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fleetlens-"))
         own = spark.sparkContext.getCheckpointDir()
     return own.rstrip("/")
@@ -31,10 +37,27 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 _TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+_open = threading.local()
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables materialised inside go at the end, but for those that are to last."""
+    made: list[DataFrame] = []
+    _open.stack = [*getattr(_open, "stack", []), made]
+    try:
+        yield
+    finally:
+        _open.stack.pop()
+        for df in made:
+            forget(df)
+
+
+def materialize(df: DataFrame, name: str, *, lasting: bool = False) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
     Nothing needs the shuffle files behind the table once it is written; they go at once.
+    The table goes with the ``scratch`` around it unless it is ``lasting``.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
@@ -44,7 +67,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_TIDY, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if not lasting and getattr(_open, "stack", None):
+        _open.stack[-1].append(out)
+    return out
 
 
 def forget(df: DataFrame) -> None:

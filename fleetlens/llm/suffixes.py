@@ -16,9 +16,13 @@ have a twin are sorted:
    prefixes of neighbours tell which windows of a context have twins.
 4. Windows with twins cover bytes; covers go back to the places of their contexts.
 
-Equal texts are one node; all windows of a text that occurs twice have twins. A hot
-anchor (more than ``HOT`` distinct contexts) is split by window: its contexts are
-counted window by window as digests, which combine before the shuffle.
+Equal texts are one node; all windows of a text that occurs twice have twins.
+
+An anchor with more contexts than a task sorts is refined: the windows over it are split
+by their left reach into ranges, and the bytes that all windows of a range hold (the
+core) take the anchor's place; contexts whose windows of a range are all equal (the hull)
+are one. So a group becomes several with longer anchors, again and again until each
+fits a task or its range is one window, and the same sort treats them all.
 
 Cases: null and empty texts have no bytes; texts shorter than the length lose none;
 matches never cross documents; rows with equal ids are separate; other columns don't matter.
@@ -34,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import forget, materialize, partitions, table
+from ._spark import materialize, partitions, scratch, table
 from ._vec import Block, as_binary, blocks, mix, prefix_hash, range_hash
 from .minhash import text_key
 
@@ -42,8 +46,8 @@ LENGTH = 200
 GRAM = 40
 #: Bytes that quicksort looks at behind the anchor before blind tries take over.
 SHALLOW = 16
-#: Contexts of a sorting task, and of one anchor before it is split by window.
-TASK_CONTEXTS, HOT = 16_000, 60_000
+#: Contexts of a sorting task; an anchor with more is refined, its range of reaches split into ``WAYS``.
+TASK_CONTEXTS, WAYS = 16_000, 6
 
 
 def _sliding(x: np.ndarray, width: int, op: np.ufunc, fill: int) -> np.ndarray:
@@ -188,13 +192,17 @@ def common_prefixes(order: np.ndarray, group: np.ndarray, rows: np.ndarray, size
     return out
 
 
-def twins(group: np.ndarray, left: list[bytes], right: list[bytes], often: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+def twins(group: np.ndarray, left: list[bytes], right: list[bytes], often: np.ndarray, low: np.ndarray | None = None, high: np.ndarray | None = None,
+          length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """Least and greatest left reach of a context's windows that have twins (greatest -1: none).
 
     left: bytes before the anchor, backwards; right: from the anchor on; often: the
-    context stands in several places. Contexts with equal groups share their anchor.
+    context stands in several places; low, high: the reaches that count (all, if not
+    given). Contexts with equal groups share their anchor.
     """
     n, most = len(group), length - gram
+    low = np.zeros(n, np.int64) if low is None else low
+    high = np.full(n, most) if high is None else high
 
     def matrix(parts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
         size = np.fromiter(map(len, parts), np.int64, n)
@@ -210,7 +218,7 @@ def twins(group: np.ndarray, left: list[bytes], right: list[bytes], often: np.nd
     new_group[1:] = group[l_order[1:]] != group[l_order[:-1]]
     r_class, l_class = np.zeros(n, np.int64), np.zeros(n, np.int64)
     for reach in range(most + 1):
-        valid = np.flatnonzero((l_size >= reach) & (r_size >= length - reach))
+        valid = np.flatnonzero((l_size >= reach) & (r_size >= length - reach) & (low <= reach) & (reach <= high))
         if not len(valid):
             continue
         r_class[r_order] = np.cumsum(r_lcp < length - reach)
@@ -309,39 +317,78 @@ def _bytes(wanted: DataFrame) -> DataFrame:
 
 
 def _sorted_twins(contexts: DataFrame, tasks: int) -> DataFrame:
+    """Reaches with twins of contexts (group, context, reach, bytes, often, low, high)."""
+
     def run(group: pa.Table) -> pa.Table:
-        anchor = group.column("anchor").to_numpy()
         reach = group.column("reach").to_pylist()
         text = group.column("bytes").to_pylist()
         left = [t[:r][::-1] for t, r in zip(text, reach)]
         right = [t[r:] for t, r in zip(text, reach)]
-        least, greatest = twins(np.unique(anchor, return_inverse=True)[1], left, right, group.column("often").to_numpy(zero_copy_only=False))
+        number = np.unique(group.column("group").to_numpy(), return_inverse=True)[1]
+        least, greatest = twins(number, left, right, group.column("often").to_numpy(zero_copy_only=False), group.column("low").to_numpy(), group.column("high").to_numpy())
         found = pa.table({"context": group.column("context").combine_chunks(), "least": pa.array(least, pa.int32()), "greatest": pa.array(greatest, pa.int32())})
         return found.filter(pa.array(greatest >= 0))
 
-    dealt = contexts.withColumn("task", F.pmod(F.xxhash64("anchor"), F.lit(tasks)).cast("int"))
+    dealt = contexts.withColumn("task", F.pmod(F.xxhash64("group"), F.lit(tasks)).cast("int"))
     return dealt.groupBy("task").applyInArrow(run, "context binary, least int, greatest int")
 
 
-def _counted_twins(contexts: DataFrame) -> DataFrame:
-    """The same for contexts of hot anchors: windows are counted by digest, contexts never meet."""
+def _ranges(low: int, high: int) -> list[tuple[int, int]]:
+    step = max(1, -(-(high - low + 1) // WAYS))
+    return [(a, min(a + step - 1, high)) for a in range(low, high + 1, step)]
+
+
+def _parts(state: DataFrame) -> DataFrame:
+    """The state (context, reach, bytes, low, high) by parts of its ranges, with the digests of core and hull.
+
+    ``least`` and ``greatest`` are the reaches of a part's windows that lie in the text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            context, reach, text, often = (batch.column(c).to_pylist() for c in ("context", "reach", "bytes", "often"))
-            for c, r, t, o in zip(context, reach, text, often):
-                starts = range(max(0, r - (LENGTH - GRAM)), min(r, len(t) - LENGTH) + 1)
-                if len(starts):
-                    # a window's place is part of its digest: twins have the anchor at the same place
-                    digest = [blake2b(t[s : s + LENGTH], digest_size=16, salt=(r - s).to_bytes(2, "big")).digest() for s in starts]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([c] * len(digest), pa.binary()), pa.array([r - s for s in starts], pa.int32()), pa.array(digest, pa.binary()), pa.array([2 if o else 1] * len(digest), pa.int32())],
-                        ["context", "reach", "window", "n"],
-                    )
-
-    windows = materialize(contexts.select("context", "reach", "bytes", "often").mapInArrow(run, "context binary, reach int, window binary, n int"), "suffix-windows")
-    common = windows.groupBy("window").agg(F.sum("n").alias("k")).where("k > 1").select("window")
-    return windows.join(common, "window").groupBy("context").agg(F.min("reach").alias("least"), F.max("reach").alias("greatest"))
+            rows = []
+            for context, reach, text, low, high in zip(*(batch.column(c).to_pylist() for c in ("context", "reach", "bytes", "low", "high"))):
+                first, last = max(low, LENGTH - (len(text) - reach)), min(high, reach)
+                for a, b in _ranges(low, high):
+                    least, greatest = max(a, first), min(b, last)
+                    if least <= greatest:
+                        where = a.to_bytes(2, "big") + b.to_bytes(2, "big")
+                        core = text[reach - a : reach + LENGTH - b] if a <= reach else b""
+                        before = min(b, reach)
+                        hull = text[reach - before : reach + LENGTH - a]
+                        rows.append((
+                            context, a, b, least, greatest, blake2b(core, digest_size=16, salt=where).digest(),
+                            blake2b(hull, digest_size=16, salt=where + before.to_bytes(2, "big")).digest(),
+                        ))
+            columns = list(zip(*rows)) or [()] * 7
+            types = (pa.binary(), *[pa.int32()] * 4, pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["context", "low", "high", "least", "greatest", "core", "hull"])
+
+    return state.select("context", "reach", "bytes", "low", "high").mapInArrow(run, "context binary, low int, high int, least int, greatest int, core binary, hull binary")
+
+
+def _refined(crowded: DataFrame, most: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Contexts of crowded anchors: (twins found by equal hulls, groups of at most ``most`` to sort).
+
+    crowded: context, reach, bytes, often. Of contexts with equal hulls one stays to be
+    compared with others that share the core.
+    """
+    found, groups = None, None
+    state = crowded.withColumn("low", F.lit(0)).withColumn("high", F.lit(LENGTH - GRAM))
+    while True:
+        parts = materialize(_parts(state), "suffix-parts")
+        hulls = parts.groupBy("hull").agg(F.count("*").alias("k"), F.min("context").alias("one"), F.first("core").alias("core"), F.first("low").alias("low"), F.first("high").alias("high"))
+        hulls = materialize(hulls, "suffix-hulls")
+        equal = parts.join(hulls.where("k > 1").select("hull"), "hull", "left_semi").select("context", "least", "greatest")
+        found = equal if found is None else found.unionByName(equal)
+        cores = materialize(hulls.groupBy("core").agg(F.count("*").alias("m")).where("m > 1"), "suffix-cores")
+        live = materialize(hulls.join(cores, "core").select(F.col("one").alias("context"), "core", "low", "high", "m"), "suffix-live")
+        few = live.where(F.col("m") <= most).select("context", F.xxhash64("core", "low").alias("group"), "low", "high")
+        groups = few if groups is None else groups.unionByName(few)
+        more = live.where(F.col("m") > most).select("context", "low", "high")
+        if not more.limit(1).count():
+            return found, crowded.join(groups, "context")
+        state = crowded.join(more, "context")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -351,13 +398,12 @@ def repeats(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     found = materialize(_anchor_rows(docs), "suffix-anchors")
-    twice = found.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
+    # written, so that the join can split an anchor that stands in very many places
+    twice = materialize(found.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor"), "suffix-twice")
     places = materialize(found.join(twice, "anchor").select("short", "anchor", "at"), "suffix-places")
-    forget(found)
     by_text = places.groupBy("short").agg(F.collect_set(F.struct("anchor", "at")).alias("places"))
     texts = docs.select(short_key(F.col("text")).alias("short"), text_key(F.col("text")).alias("node"), "text")
     marked = materialize(texts.join(by_text, "short").groupBy("node").agg(F.first("text").alias("text"), F.first("places").alias("places")), "suffix-texts")
-    forget(places)
     held = materialize(_contexts(marked), "suffix-contexts")
     one = held.groupBy("anchor", "context", "reach", "size").agg(F.sum(F.size("uses")).alias("k"), F.min(F.element_at("uses", 1)).alias("place"))
     one = materialize(one.select("anchor", "context", "reach", "size", (F.col("k") > 1).alias("often"), "place"), "suffix-distinct")
@@ -368,16 +414,21 @@ def repeats(docs: DataFrame) -> DataFrame:
     mixed = one.join(crowd.where("m > 1"), "anchor", "left_semi")
     wanted = mixed.groupBy(F.col("place.node").alias("node")).agg(F.collect_list(F.struct("anchor", "context", F.col("place.at").alias("at"), "often")).alias("places"))
     pieces = materialize(_bytes(marked.select("node", "text").join(wanted, "node")), "suffix-bytes")
-    forget(marked)
     total = crowd.where("m > 1").agg(F.sum("m")).first()[0] or 0
-    hot = crowd.where(F.col("m") > HOT).select("anchor")
+    crowded = crowd.where(F.col("m") > TASK_CONTEXTS).select("anchor")
     tasks = max(1, min(partitions(spark), -(-total // 2000)), -(-total // TASK_CONTEXTS))
-    got = got.unionByName(_sorted_twins(pieces.join(hot, "anchor", "left_anti"), tasks))
-    if hot.limit(1).count():
-        got = got.unionByName(_counted_twins(pieces.join(hot, "anchor", "left_semi")))
-    got = materialize(got, "suffix-twins")
-    forget(pieces)
-    covers = held.select("context", F.explode("uses").alias("u")).join(got, "context").select(
+    whole = pieces.select(F.col("anchor").alias("group"), "context", "reach", "bytes", "often", F.lit(0).alias("low"), F.lit(LENGTH - GRAM).alias("high"))
+    if crowded.limit(1).count():
+        large = pieces.join(crowded, "anchor", "left_semi")
+        equal, groups = _refined(materialize(large.select("context", "reach", "bytes", "often"), "suffix-crowded"), TASK_CONTEXTS)
+        # a context that stands in several places has twins for all its windows
+        size = F.length("bytes") - F.col("reach")
+        own = large.where(F.col("often") & (F.length("bytes") >= LENGTH)).select("context", F.greatest(F.lit(0), LENGTH - size).alias("least"), F.least(F.lit(LENGTH - GRAM), F.col("reach")).alias("greatest"))
+        got = got.unionByName(equal).unionByName(own)
+        whole = whole.join(crowded.select(F.col("anchor").alias("group")), "group", "left_anti").unionByName(groups.select(whole.columns))
+    got = got.unionByName(_sorted_twins(whole, tasks))
+    got = materialize(got.groupBy("context").agg(F.min("least").alias("least"), F.max("greatest").alias("greatest")), "suffix-twins")
+    covers = held.join(got, "context").select(F.explode("uses").alias("u"), "least", "greatest").select(
         "u.node", (F.col("u.at") - F.col("greatest")).alias("start"), (F.col("u.at") - F.col("least") + LENGTH).alias("stop")
     )
     covers = covers.groupBy("node").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
@@ -399,8 +450,8 @@ def _merged(spans: list[dict] | None, copies: int | None, size: int) -> list[tup
 
 def cleaned(docs: DataFrame, *, as_text: bool = False) -> DataFrame:
     """All rows of ``docs`` with __kept (bytes left, or text), __removed and __spans (maximal removed runs)."""
-    spark = docs.sparkSession
-    held = materialize(repeats(docs), "suffix-repeats")
+    with scratch():
+        held = materialize(repeats(docs), "suffix-repeats", lasting=True)
     keyed = docs.withColumn("__node", text_key(F.col("text")))
     joined = keyed.join(held.withColumnRenamed("node", "__node").withColumnRenamed("copies", "__copies").withColumnRenamed("spans", "__list"), "__node", "left").drop("__node")
     at = docs.columns.index("text")
