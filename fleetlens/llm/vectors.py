@@ -11,10 +11,12 @@ pairs ever being written: a task turns a bucket into counts per vector and into
 that span the components it sees. A bucket above ``BLOCK_ROWS`` members is dealt as
 pairs of blocks. Equal vectors are one node with a weight.
 
-Cases: a vector that is null or zero or holds null or non-finite components links
-with nothing and is its own component; vectors of another length than most, too; ids
-should be unique (rows with one id share its links); null ids never link; an empty
-table gives no rows.
+Vectors of every length are searched among their own: the length is part of the table's
+number, and K and the tables follow from how many vectors have it.
+
+Cases: a vector that is null, empty or zero or holds null or non-finite components links
+with nothing and is its own component; ids should be unique (rows with one id share its
+links); null ids never link; an empty table gives no rows; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -25,14 +27,22 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import materialize, table
+from ._spark import materialize, partitions, scratch, table
 from .components import components
 
 COSINE = 0.9
 TABLES, PROBES = 12, 6
+#: Further tables for each K above 3, as a factor: a table then finds fewer of the pairs.
+MORE_TABLES = 2.5
 BLOCK_ROWS = 1500
 #: Vectors per bucket that K aims at, were they spread evenly.
 MEAN_BUCKET = 4
+#: Places of vectors in buckets that a task compares.
+TASK_PLACEMENTS = 50_000
+
+
+def tables_for(k: int, tables: int = TABLES) -> int:
+    return tables if k <= 3 else round(tables * MORE_TABLES ** (k - 3))
 
 
 def _rotate(x: np.ndarray, signs: np.ndarray) -> np.ndarray:
@@ -131,24 +141,38 @@ def _spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 def neighbours(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", cosine: float = COSINE,
                tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of ``vectors``."""
-    every = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
+    with scratch():
+        every, named = _neighbours(vectors, vec_id, vector, cosine, tables, probes)
+    void = every.where("not sound").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    found = every.where("sound").join(named, "v").select("vec_id", "n_links", "component_id").unionByName(void)
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def _neighbours(vectors: DataFrame, vec_id: str, vector: str, cosine: float, tables: int, probes: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (vec_id, v, sound), and n_links and component_id of every distinct sound vector."""
+    narrow = vectors.schema[vector].dataType.elementType.typeName() == "float"
+    kind = np.dtype("<f4") if narrow else np.dtype("<f8")  # floats travel as they are; cosines are in double precision
+    every = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast(f"array<{'float' if narrow else 'double'}>").alias("v"))
     sound = (
         F.col("v").isNotNull() & F.col("vec_id").isNotNull() & (F.size("v") > 0)
         & F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
         & F.exists("v", lambda c: c != 0)
     )
-    every = materialize(every.withColumn("sound", F.coalesce(sound, F.lit(False))), "vectors")
+    every = materialize(every.withColumn("sound", F.coalesce(sound, F.lit(False))), "vectors", lasting=True)
     nodes = every.where("sound").groupBy("v").agg(F.min("vec_id").alias("id"), F.countDistinct("vec_id").alias("copies"))
-    shape = every.where("sound").groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    if shape is None:
-        return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dim = shape["dim"]
-    nodes = nodes.where(F.size("v") == dim)
-    wide = 2 << max(1, (dim - 1).bit_length())
-    k = max(1, round(np.log(max(2, shape["count"] / MEAN_BUCKET)) / np.log(wide)))
-
-    def unit(column: pa.Array) -> np.ndarray:
-        x = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    nodes = materialize(nodes, "vector-nodes")
+    # one row per length of vectors comes to the driver
+    shapes = {r[0]: r[1] for r in nodes.groupBy(F.size("v")).count().collect()}
+    ks = {}
+    for dim, count in shapes.items():
+        wide = 2 << max(1, (dim - 1).bit_length())
+        ks[dim] = max(1, round(np.log(max(2, count / MEAN_BUCKET)) / np.log(wide)))
+    #: bucket numbers take as few bytes as the widest needs
+    widest = max((((2 << max(1, (d - 1).bit_length())) ** k) for d, k in ks.items()), default=1)
+    number = np.dtype("<i2") if widest < 1 << 15 else np.dtype("<i4") if widest < 1 << 31 else np.dtype("<i8")
+
+    def unit(x: np.ndarray) -> np.ndarray:
+        x = x.astype(np.float64)
         x = x / np.abs(x).max(1, keepdims=True)
         return x / np.sqrt((x * x).sum(1, keepdims=True))
 
@@ -156,17 +180,23 @@ def neighbours(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "emb
         for batch in batches:
             for at in range(0, len(batch), 4096):
                 part = batch.slice(at, 4096)
-                x = unit(part.column("v"))
-                c = hashes(x, k, tables, probes)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("copies"), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in c.reshape(len(x), -1)], pa.binary()),
-                     pa.FixedSizeListArray.from_arrays(pa.array(c.ravel()), c[0].size).cast(pa.list_(pa.int64()))],
-                    ["id", "copies", "x", "codes", "places"],
-                )
-
-    coded = materialize(nodes.select("id", "copies", "v").mapInArrow(code, "id long, copies long, x binary, codes binary, places array<long>"), "vector-codes")
-    placed = coded.select("id", F.posexplode("places").alias("p", "bucket")).select(
-        "id", F.expr(f"cast(p div {1 + probes} as int)").alias("t"), "bucket", (F.col("p") % (1 + probes) == 0).alias("own")
+                sizes = pa.compute.list_value_length(part.column("v")).to_numpy()
+                for dim in np.unique(sizes).tolist():
+                    own = part.filter(pa.array(sizes == dim))
+                    x = own.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                    c = hashes(unit(x), ks[dim], tables_for(ks[dim], tables), probes)
+                    yield pa.RecordBatch.from_arrays(
+                        [own.column("id"), own.column("copies"), pa.array([dim] * len(x), pa.int32()), pa.array([r.tobytes() for r in x.astype(kind)], pa.binary()),
+                         pa.array([r.tobytes() for r in c.reshape(len(x), -1).astype(number)], pa.binary()),
+                         pa.FixedSizeListArray.from_arrays(pa.array(c.ravel()), c[0].size).cast(pa.list_(pa.int64()))],
+                        ["id", "copies", "dim", "x", "codes", "places"],
+                    )
+
+    coded = nodes.select("id", "copies", "v").mapInArrow(code, "id long, copies long, dim int, x binary, codes binary, places array<long>")
+    coded = materialize(coded, "vector-codes")
+    # a table's number holds the length: vectors of different lengths never meet
+    placed = coded.select("id", "dim", F.posexplode("places").alias("p", "bucket")).select(
+        "id", F.expr(f"cast(dim as bigint) * {1 << 20} + p div {1 + probes}").alias("t"), "bucket", (F.col("p") % (1 + probes) == 0).alias("own")
     )
     placed = placed.groupBy("id", "t", "bucket").agg(F.max("own").alias("own"))  # a probe may repeat
     sizes = placed.groupBy("t", "bucket").agg(F.count("*").alias("m"), F.max("own").alias("some")).where("m > 1 and some")
@@ -174,7 +204,8 @@ def neighbours(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "emb
     dealt = met.withColumn("i", F.pmod(F.xxhash64("id"), F.col("b")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("b") - 1))).select(
         "id", "own", "t", "bucket", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), (F.col("i") <= F.col("j")).alias("one"), (F.col("i") >= F.col("j")).alias("two")
     )
-    tasks = max(64, vectors.sparkSession.sparkContext.defaultParallelism * 4)
+    placements = sum(n * tables_for(ks[d], tables) * (1 + probes) for d, n in shapes.items())
+    tasks = max(1, min(placements, max(partitions(vectors.sparkSession), placements // TASK_PLACEMENTS)))
     dealt = dealt.withColumn("task", F.pmod(F.xxhash64("t", "bucket", "i", "j"), F.lit(tasks)).cast("int"))
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,11 +232,11 @@ def neighbours(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "emb
                 continue
             by = pa.compute.sort_indices(g.column("id"))
             g = g.take(by)
-            x = np.frombuffer(b"".join(g.column("x").to_pylist())).reshape(len(g), -1)
-            c = np.frombuffer(b"".join(g.column("codes").to_pylist()), np.int64).reshape(len(g), tables, 1 + probes)
+            x = unit(np.frombuffer(b"".join(g.column("x").to_pylist()), kind).reshape(len(g), -1))
+            c = np.frombuffer(b"".join(g.column("codes").to_pylist()), number).reshape(len(g), -1, 1 + probes)
             own, one, two = (g.column(n).to_numpy(zero_copy_only=False).astype(bool) for n in ("own", "one", "two"))
             first, second = np.flatnonzero(one), np.flatnonzero(two)
-            t, bucket = g.column("t")[0].as_py(), g.column("bucket")[0].as_py()
+            t, bucket = g.column("t")[0].as_py() & ((1 << 20) - 1), g.column("bucket")[0].as_py()
             a, b = _pairs(x, c, own, first, second, t, bucket, cosine)
             if g.column("i")[0].as_py() != g.column("j")[0].as_py():  # across blocks a pair may stand either way
                 other = _pairs(x, c, own, second, first, t, bucket, cosine)
@@ -224,11 +255,9 @@ def neighbours(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "emb
     counts = got.groupBy("id").agg(F.sum("n").alias("n"))
     parts = components(got.select(F.col("id").alias("a"), F.col("root").alias("b"))).select(F.col("node").alias("id"), F.col("component"))
     named = nodes.join(counts, "id", "left").join(parts, "id", "left").select(
-        "v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")
+        "v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id")
     )
-    joined = every.withColumn("key", F.when(F.col("sound"), F.col("v"))).join(named.withColumnRenamed("v", "key"), "key", "left")
-    out = joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    return every, materialize(named, "vector-names", lasting=True)
 
 
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,4 +265,15 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_embedding_near_dedup": op7_embedding_near_dedup}
-ORACLES: dict[str, str] = {}
+#: All pairs of vectors of equal length.
+ORACLES = {
+    "op7_embedding_near_dedup": f"""
+WITH RECURSIVE every AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+sound AS (SELECT vec_id, v FROM every WHERE vec_id IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM sound a JOIN sound b ON len(a.v) = len(b.v) AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= {COSINE}),
+reach AS (SELECT vec_id, vec_id AS root FROM every UNION SELECT l.y, r.root FROM reach r JOIN links l ON l.x = r.vec_id),
+roots AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT r.vec_id, coalesce(c.n, 0) AS n_links, r.component_id, r.vec_id = r.component_id AS kept FROM roots r LEFT JOIN counts c ON c.x = r.vec_id
+"""
+}
