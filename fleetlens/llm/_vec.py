@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 #: Multiplier of the polynomial hash, odd, and its inverse modulo 2**64.
 P = 0x9E3779B97F4A7C15
 P_INV = pow(P, -1, 1 << 64)

@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import materialize, table
-from ._vec import Block, blocks, doc_of, folded, gram_hash, mix, prefix_hash, range_hash, words
+from ._spark import materialize, scratch, table
+from ._vec import Block, blocks, folded, gram_hash, mix, prefix_hash, range_hash, words
 from .components import components
 
 SHINGLE = 5
@@ -218,11 +218,11 @@ def _centres(members: DataFrame) -> DataFrame:
             usual[r] = value[count.argmax()]
         score = (sig == usual).sum(1)
         k = int(score.argmax())
-        return pa.table({"bucket": group.column("bucket")[:1], "score": pa.array([int(score[k])], pa.int32()), "node": group.column("node").take([k])})
+        return pa.table({"bucket": group.column("bucket")[:1], "score": pa.array([int(score[k])], pa.int32()), "node": group.column("node").take([k]), "n": group.column("n").take([k])})
 
     dealt = members.withColumn("i", F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / BLOCK_ROWS)).cast("int"))
-    best = dealt.groupBy("bucket", "i").applyInArrow(run, "bucket long, score int, node binary")
-    return best.groupBy("bucket").agg(F.max(F.struct("score", "node")).alias("c")).select("bucket", F.col("c.node").alias("centre"))
+    best = dealt.groupBy("bucket", "i").applyInArrow(run, "bucket long, score int, node binary, n long")
+    return best.groupBy("bucket").agg(F.max(F.struct("score", "node", "n")).alias("c")).select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"))
 
 
 def _overlaps(bags_: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -297,7 +297,20 @@ def classes(docs: DataFrame, *, similarity_at_least: float = SIMILARITY) -> Data
 
     One row of each class is kept; classes can share a class_id, as ids may be null or repeat.
     """
-    spark = docs.sparkSession
+    with scratch():
+        named = materialize(_named(docs, similarity_at_least), "minhash-named", lasting=True)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "row")).alias("first")
+    # classes of one need no join; the others' table is written, so a large class is split by the skew join
+    several = materialize(named.groupBy("component").agg(first, F.count("*").alias("m")).where("m > 1").drop("m"), "minhash-classes", lasting=True)
+    out = named.join(several, "component", "left")
+    alone = F.col("first").isNull()
+    return out.select(
+        "doc_id", "node", F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"), (alone | (F.col("row") == F.col("first.row"))).alias("kept")
+    )
+
+
+def _named(docs: DataFrame, similarity_at_least: float) -> DataFrame:
+    """row, doc_id, node and component (a node) of every document."""
     rows = materialize(signed(docs).withColumn("row", F.monotonically_increasing_id()), "minhash-signatures")
     nodes = rows.where("sig is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig"))
     nodes = materialize(nodes, "minhash-nodes")
@@ -311,7 +324,8 @@ def classes(docs: DataFrame, *, similarity_at_least: float = SIMILARITY) -> Data
     tested = members.where(f"node <> head and least(n, head_n) >= {similarity_at_least} * greatest(n, head_n)")
     tested = materialize(tested.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "minhash-pairs")
     wanted = members.select("node").distinct()
-    texts = docs.select(text_key(F.col("text")).alias("node"), "text").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    # copies of a text combine before the shuffle; the join then has one row per text
+    texts = docs.select(text_key(F.col("text")).alias("node"), "text").groupBy("node").agg(F.first("text").alias("text")).join(wanted, "node", "left_semi")
     texts = materialize(texts, "minhash-texts")
     links = materialize(verified(tested, texts, similarity_at_least), "minhash-links")
     # who hangs on one first node belongs together; whole components come later
@@ -319,10 +333,9 @@ def classes(docs: DataFrame, *, similarity_at_least: float = SIMILARITY) -> Data
     found, left = None, materialize(_open_buckets(members, hung, True), "minhash-open")
     if left.limit(1).count():
         signs = nodes.select("node", "sig")
-        centres = _centres(left.join(signs, "node"))
-        again = left.join(centres, "bucket").where("node <> centre")
-        size = again.join(nodes.select(F.col("node").alias("centre"), F.col("n").alias("cn")), "centre").where(f"least(n, cn) >= {similarity_at_least} * greatest(n, cn)")
-        more = size.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+        centres = materialize(_centres(left.join(signs, "node")), "minhash-centres")
+        again = left.join(centres, "bucket").where(f"node <> centre and least(n, centre_n) >= {similarity_at_least} * greatest(n, centre_n)")
+        more = again.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
         links = links.unionByName(materialize(verified(more, texts, similarity_at_least), "minhash-links"))
         found = components(links)
         left = materialize(_open_buckets(members, found, False), "minhash-open")
@@ -332,10 +345,7 @@ def classes(docs: DataFrame, *, similarity_at_least: float = SIMILARITY) -> Data
     if found is None:
         found = components(links)
     named = rows.select("row", "doc_id", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = materialize(named, "minhash-named")
-    first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "row")).alias("first"))
-    out = named.join(first, "component")
-    return out.select("doc_id", "node", F.col("first.doc_id").alias("class_id"), (F.col("row") == F.col("first.row")).alias("kept"))
+    return named
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
@@ -351,4 +361,22 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_minhash_near_dedup": op10_minhash_near_dedup}
-ORACLES: dict[str, str] = {}
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: All pairs of texts that share a shingle, by whole multisets.
+ORACLES = {
+    "op10_minhash_near_dedup": rf"""
+WITH RECURSIVE texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+nodes AS (SELECT min(doc_id) AS node, t, list_filter(regexp_split_to_array(translate(t, '{_UPPER}', '{_LOWER}'), '[ 	-
+]+'), lambda x: x <> '') AS w FROM texts GROUP BY t),
+shingles AS (SELECT node, unnest(list_transform(range(1, greatest(1, len(w) - {SHINGLE - 1}) + 1), lambda i: array_to_string(w[i : i + {SHINGLE - 1}], ' '))) AS s FROM nodes WHERE len(w) > 0),
+bags AS (SELECT node, s, count(*) AS n FROM shingles GROUP BY ALL),
+sizes AS (SELECT node, sum(n) AS size FROM bags GROUP BY node),
+shared AS (SELECT a.node AS x, b.node AS y, sum(least(a.n, b.n)) AS m FROM bags a JOIN bags b ON a.s = b.s AND a.node < b.node GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.node = x JOIN sizes q ON q.node = y WHERE m >= {SIMILARITY} * (p.size + q.size - m)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT node, node AS root FROM nodes UNION SELECT w.y, r.root FROM reach r JOIN ways w ON w.x = r.node),
+roots AS (SELECT node, min(root) AS class_id FROM reach GROUP BY node)
+SELECT d.doc_id, r.class_id, d.doc_id = r.class_id AS kept FROM texts d JOIN nodes n ON n.t = d.t JOIN roots r ON r.node = n.node
+"""
+}

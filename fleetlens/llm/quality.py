@@ -174,15 +174,13 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS) -> dict
 def score(docs: DataFrame, model: dict, *, text: str = "text", column: str = "score") -> DataFrame:
     """Adds the probability of class 1 to all rows; other columns pass through."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [scores(block, sent.value) for block in blocks(batch.column(at))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(got) if got else np.zeros(0))], [*batch.schema.names, column])
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:  # only texts go to Python, and only scores come back
+        got = [scores(block, sent.value) for block in blocks(texts)]
+        return pa.array(np.concatenate(got) if got else np.zeros(0), pa.float64())
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", `{column}` double"
-    return docs.mapInArrow(run, schema)
+    return docs.withColumn(column, run(F.col(text)))
 
 
 def _training(docs: DataFrame, labels: DataFrame) -> dict:

@@ -122,9 +122,10 @@ def cut(spark, texts):
     return {r.doc_id: r for r in suffixes.cleaned(df).collect()}
 
 
-@pytest.mark.parametrize("hot", [8000, 3])
-def test_repeats(spark, monkeypatch, hot):
-    monkeypatch.setattr(suffixes, "HOT", hot)
+@pytest.mark.parametrize("most, ways", [(16_000, 6), (3, 6), (2, 2)])
+def test_repeats(spark, monkeypatch, most, ways):
+    monkeypatch.setattr(suffixes, "TASK_CONTEXTS", most)
+    monkeypatch.setattr(suffixes, "WAYS", ways)
     rng = random.Random(3)
     text = lambda n: "".join(rng.choice("abcdé \n") for _ in range(n))
     shared, other = text(500), text(230)
@@ -141,6 +142,25 @@ def test_repeats(spark, monkeypatch, hot):
         assert (r["__removed"], r["__spans"], bytes(r["__kept"])) == (int(marks.sum()), spans, data[~marks].tobytes()), i
 
 
+def test_a_hot_passage_is_split_into_groups(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "TASK_CONTEXTS", 40)
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared, ends = text(330), [text(120) for _ in range(5)]
+    texts = [text(60) + rng.choice(ends)[: rng.randrange(1, 120)] + shared + rng.choice(ends)[: rng.randrange(1, 120)] + text(80) for _ in range(260)]
+    sorter, largest = suffixes._sorted_twins, []
+
+    def watched(contexts, tasks):
+        largest.append(contexts.groupBy("group").count().agg({"count": "max"}).first()[0])
+        return sorter(contexts, tasks)
+
+    monkeypatch.setattr(suffixes, "_sorted_twins", watched)
+    got = cut(spark, texts)
+    for i, marks in enumerate(covered([t.encode() for t in texts], 200)):
+        assert (got[i]["__removed"], bytes(got[i]["__kept"])) == (int(marks.sum()), np.frombuffer(texts[i].encode(), np.uint8)[~marks].tobytes()), i
+    assert largest and largest[0] <= 40
+
+
 def test_texts_without_repeats_stay(spark):
     a, b = "é" * 99 + "x" + "ü" * 120, "unique words here"
     df = spark.createDataFrame([(1, f"{a}tail one", 9), (2, f"other {a}", 9), (3, b, 9), (4, a, 9), (None, None, 1)], "doc_id long, text string, n_chars long")
@@ -181,6 +201,28 @@ def test_vectors(spark):
     assert vectors.neighbours(df.where("vec_id < 0")).count() == 0
 
 
+def test_vectors_of_several_lengths(spark):
+    rows = [(1, [1.0, 2.0], 5), (2, [1.0, 2.0], 5), (3, [2.0, 4.0], 5), (4, [1.0, 0.0, 0.0], 5), (5, [0.0, 1.0, 0.0], 5), (6, [5.0, 0.1, 0.0], 5), (7, [-3.0], 5), (8, [4.0], 5), (9, [2.0], 5), (None, [2.0], 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, sound int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.neighbours(df).collect()}
+    assert got == {1: (2, 1, True), 2: (2, 1, False), 3: (2, 1, False), 4: (1, 4, True), 5: (0, 5, True), 6: (1, 4, False), 7: (0, 7, True), 8: (1, 8, True), 9: (1, 8, False), None: (0, None, True)}
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 4])
+def test_links_at_the_threshold_are_found_at_every_k(k):
+    rng = np.random.default_rng(k)
+    a = rng.normal(size=(600, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.normal(size=a.shape)
+    b -= (b * a).sum(1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    b = 0.9 * a + np.sqrt(1 - 0.81) * b
+    tables = vectors.tables_for(k)
+    x, y = vectors.hashes(a, k, tables), vectors.hashes(b, k, tables)
+    found = (x[:, :, :1] == y).any((1, 2)) | (y[:, :, :1] == x).any((1, 2))
+    assert found.mean() >= 0.99
+
+
 def test_vector_blocks_count_the_same(spark, monkeypatch):
     rng = np.random.default_rng(4)
     x = [(np.eye(16)[0] + 0.02 * rng.normal(size=16)).tolist() for _ in range(120)]
