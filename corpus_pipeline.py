@@ -9,6 +9,13 @@ columns of ``documents``.
 3. suffix-array dedup: repeats of 200 bytes or more are cut out of texts;
 4. mixing: documents are repeated or dropped until sources meet their weights;
 5. best-fit packing: texts become token pieces, with their ids and a place in a sequence.
+
+Cases: null and empty texts are scored by the classifier's intercept; where they stay,
+one of them is kept as a document without words, which mixing takes nothing of. Rows
+with equal or null ids are separate documents throughout; equal texts are copies, of
+which one stays. A null source is a source of its own. An empty table gives no rows.
+Further columns, whatever their names, pass through to the last stage, which returns
+pieces (doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset).
 """
 
 from __future__ import annotations
@@ -16,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetlens.llm import minhash, mixing, packing, quality, suffixes
-from fleetlens.llm._spark import materialize, table
+from fleetlens.llm._spark import forget, materialize, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,5 +61,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{k}")
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), f"pipeline-{k}")
+        if k:
+            forget(before)
     return docs
