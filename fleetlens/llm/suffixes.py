@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import materialize, partitions, scratch, table
+from ._spark import forget, materialize, partitions, scratch, table
 from ._vec import Block, as_binary, blocks, mix, prefix_hash, range_hash
 from .minhash import text_key
 
@@ -401,9 +401,11 @@ def repeats(docs: DataFrame) -> DataFrame:
     # written, so that the join can split an anchor that stands in very many places
     twice = materialize(found.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor"), "suffix-twice")
     places = materialize(found.join(twice, "anchor").select("short", "anchor", "at"), "suffix-places")
+    forget(found)
     by_text = places.groupBy("short").agg(F.collect_set(F.struct("anchor", "at")).alias("places"))
     texts = docs.select(short_key(F.col("text")).alias("short"), text_key(F.col("text")).alias("node"), "text")
     marked = materialize(texts.join(by_text, "short").groupBy("node").agg(F.first("text").alias("text"), F.first("places").alias("places")), "suffix-texts")
+    forget(places)
     held = materialize(_contexts(marked), "suffix-contexts")
     one = held.groupBy("anchor", "context", "reach", "size").agg(F.sum(F.size("uses")).alias("k"), F.min(F.element_at("uses", 1)).alias("place"))
     one = materialize(one.select("anchor", "context", "reach", "size", (F.col("k") > 1).alias("often"), "place"), "suffix-distinct")
@@ -414,6 +416,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     mixed = one.join(crowd.where("m > 1"), "anchor", "left_semi")
     wanted = mixed.groupBy(F.col("place.node").alias("node")).agg(F.collect_list(F.struct("anchor", "context", F.col("place.at").alias("at"), "often")).alias("places"))
     pieces = materialize(_bytes(marked.select("node", "text").join(wanted, "node")), "suffix-bytes")
+    forget(marked)
     total = crowd.where("m > 1").agg(F.sum("m")).first()[0] or 0
     crowded = crowd.where(F.col("m") > TASK_CONTEXTS).select("anchor")
     tasks = max(1, min(partitions(spark), -(-total // 2000)), -(-total // TASK_CONTEXTS))
