@@ -7,8 +7,10 @@ is cut exactly: whole epochs first, then documents in key order until the rest o
 budget is used, the last one partly.
 
 Cases: null text has size 0; a null source is a source of its own, ordered last; an
-empty table gives no rows; rows with equal ids are separate documents; other columns
-pass through untouched. Budgets are targets rounded to whole words.
+empty table gives no rows; rows with equal ids are separate documents, which stand by
+their texts' digests where id and size agree. Other columns pass through untouched,
+whatever their names: ``sample`` uses reserved names only, and ``mix`` refuses a table
+that has a column of the names it adds. Budgets are targets rounded to whole words.
 """
 
 from __future__ import annotations
@@ -65,33 +67,42 @@ def mix(sized: DataFrame, *, doc_id: str = "doc_id", source: str = "source", siz
     ``sized`` should be cheap to read twice (see ``materialize``). Rows equal in
     id, source and size take the same words in whichever order they stand.
     """
+    if clash := sorted({"source_size", "target", "taken"} & set(sized.columns)):
+        raise ValueError(f"columns {clash} would be replaced")
+    out = _taken(sized, doc_id, source, size, None, weights, max_epochs, seed)
+    return out.withColumnsRenamed({"__source_size": "source_size", "__target": "target", "__taken": "taken"})
+
+
+def _taken(sized: DataFrame, doc_id: str, source: str, size: str, digest: str | None, weights: Sequence[int], max_epochs: int, seed: str) -> DataFrame:
+    """Adds __source_size, __target and __taken; ``digest`` orders rows of one id and size."""
     keyed = sized.withColumn("__key", key_of(F.col(doc_id), seed)).withColumn("__bucket", F.substring("__key", 1, BUCKET_DIGITS))
     sums = keyed.groupBy(F.col(source).alias("__s"), F.col("__bucket").alias("__b")).agg(F.sum(size).alias("__sum"))
     by_source = sums.groupBy(F.col("__s").alias("source")).agg(F.sum("__sum").alias("source_size"))
-    goal = targets(by_source, weights, max_epochs).withColumnRenamed("source", "__t")
+    goal = targets(by_source, weights, max_epochs).withColumnsRenamed({"source": "__t", "source_size": "__source_size", "target": "__target"})
     before = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     plan = sums.withColumn("__before", F.coalesce(F.sum("__sum").over(before), F.lit(0))).join(goal, F.col("__s").eqNullSafe(F.col("__t"))).drop("__t", "__sum")
-    inside = Window.partitionBy(source, "__bucket").orderBy("__key", F.col(doc_id), F.col(size)).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(source, "__bucket").orderBy("__key", doc_id, size, *([digest] if digest else [])).rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.withColumn("__inside", F.coalesce(F.sum(size).over(inside), F.lit(0)))
     joined = placed.join(plan, F.col(source).eqNullSafe(F.col("__s")) & (F.col("__bucket") == F.col("__b")))
-    budget = F.round("target").cast("long")
-    epochs = F.when(F.col("source_size") > 0, F.expr("cast(round(target) as bigint) div source_size")).otherwise(F.lit(0))
-    rest = budget - epochs * F.col("source_size")
+    budget = F.round("__target").cast("long")
+    epochs = F.when(F.col("__source_size") > 0, F.expr("cast(round(__target) as bigint) div __source_size")).otherwise(F.lit(0))
+    rest = budget - epochs * F.col("__source_size")
     part = F.greatest(F.lit(0), F.least(F.col(size), rest - F.col("__before") - F.col("__inside")))
-    return joined.withColumn("taken", (epochs * F.col(size) + part).cast("long")).drop(
+    return joined.withColumn("__taken", (epochs * F.col(size) + part).cast("long")).drop(
         "__key", "__bucket", "__s", "__b", "__before", "__inside"
     )
 
 
-def sample(docs: DataFrame, **options) -> DataFrame:
+def sample(docs: DataFrame, *, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mixed corpus: a row of ``docs`` for every time it is taken.
 
     Whole documents only: one whose partial share is at least half of it counts fully.
     A source's words so differ from its target by less than one document.
     """
-    sized = materialize(docs.withColumn("__size", size_of(F.col("text"))), "mixing")
-    taken = mix(sized, size="__size", **options)
-    copies = F.when(F.col("__size") > 0, F.expr("cast(floor((2 * taken + __size) / (2 * __size)) as int)")).otherwise(F.lit(0))
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    sized = materialize(docs.withColumn("__size", size_of(F.col("text"))).withColumn("__digest", digest), "mixing")
+    taken = _taken(sized, "doc_id", "source", "__size", "__digest", weights, max_epochs, seed)
+    copies = F.when(F.col("__size") > 0, F.expr("cast(floor((2 * __taken + __size) / (2 * __size)) as int)")).otherwise(F.lit(0))
     return taken.withColumn("__copies", copies).where("__copies > 0").withColumn(
         "__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))
     ).select(*docs.columns)

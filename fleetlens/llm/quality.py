@@ -33,6 +33,8 @@ TRAIN_ROWS = 20_000
 THRESHOLD = 0.3
 #: Smoothing of counts, the hinge loss's bound on a row's weight, passes over the rows.
 ALPHA, COST, EPOCHS = 1.0, 4.0, 12
+#: The fit ends before that many passes when no step of one is larger.
+TOLERANCE = 1e-3
 
 
 def features(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -92,7 +94,7 @@ def fit(rows: list[np.ndarray], label: np.ndarray) -> dict[str, np.ndarray | flo
                 bias += step
                 alpha[i] = new
                 moved = max(moved, abs(step))
-        if moved < 1e-3:
+        if moved < TOLERANCE:
             break
     margin = np.array([w[rows[i]] @ scaled[i] + bias for i in np.flatnonzero(kept_back)])
     slope, level = _logistic(margin, label[kept_back].astype(float))

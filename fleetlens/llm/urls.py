@@ -4,12 +4,16 @@ A list entry (kind, key, verdict, listed) says from its date on what holds for a
 a domain with all below it, or a path under a host: ``block``, ``allow`` or ``none``
 (taken off the list). It stays valid until the key's next entry, so the dated entries
 become intervals that don't overlap. A capture has one key for its host, one for each
-domain above, one for each folder of its path; these meet the intervals in an equi-join
-that keeps what is valid at its fetch time. Of several active entries the most specific
-decides (path over host over domain, then the longest key), and only ``block`` and
-``allow`` count.
-
-Cases: a null or malformed url has no keys and no verdict; a capture without a fetch
+domain above, one for each folder of its path. Captures with one url and fetch time are
+one, and so are keys with one fetch time; an as-of join (the union of intervals and
+points in time order, the last interval carried on) finds the interval that each key and
+time stands in. So a domain over a third of all captures is one row per fetch time, and
+many dated entries of one key never multiply with its captures. Of several active
+entries the most specific decides (path over host over domain, then the longest key),
+and only ``block`` and ``allow`` count.
+
+Cases: columns of captures with the name of a result column are returned with ``_before``
+behind their names; a null or malformed url has no keys and no verdict; a capture without a fetch
 time meets nothing; of two entries for a key with one date the verdict that comes first
 in the alphabet (allow, block, none) is taken; repeated captures are judged one by one;
 entries with null keys or dates are void; empty tables work.
@@ -20,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._spark import table
+from ._spark import materialize, table
 
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#@]+)"
 PATH = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)"
@@ -52,18 +56,32 @@ def intervals(entries: DataFrame) -> DataFrame:
     return one.select("kind", "key", "verdict", F.col("listed").alias("valid_from"), F.lead("listed").over(later).alias("valid_to")).where("verdict <> 'none'")
 
 
+def _as_of(points: DataFrame, valid: DataFrame) -> DataFrame:
+    """Points (kind, key, at) that stand in an interval, with its verdict and valid_from."""
+    interval = F.struct("verdict", "valid_from", "valid_to")
+    starts = valid.select("kind", "key", F.col("valid_from").alias("at"), interval.alias("i"), F.lit(0).alias("point"))
+    both = starts.unionByName(points.select("kind", "key", "at", F.lit(None).cast(starts.schema["i"].dataType).alias("i"), F.lit(1).alias("point")))
+    upto = Window.partitionBy("kind", "key").orderBy("at", "point").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = both.withColumn("i", F.last("i", ignorenulls=True).over(upto)).where("point = 1 and i is not null")
+    return carried.where("i.valid_to is null or at < i.valid_to").select("kind", "key", "at", "i.verdict", "i.valid_from")
+
+
 def judge(captures: DataFrame, entries: DataFrame, *, url: str = "url", fetched: str = "fetched") -> DataFrame:
     """All captures with verdict (block, allow or none) and the deciding entry (kind, key, listed)."""
-    rows = captures.withColumn("__row", F.monotonically_increasing_id())
-    keyed = rows.select("__row", F.col(fetched).alias("__at"), F.explode(keys_of(F.col(url))).alias("k")).select("__row", "__at", "k.kind", "k.key")
-    valid = keyed.join(intervals(entries), ["kind", "key"]).where("valid_from <= __at and (valid_to is null or __at < valid_to)")
+    keyed = captures.select(F.col(url).alias("url"), F.col(fetched).alias("at")).where("url is not null and at is not null").distinct()
+    keyed = keyed.withColumn("k", F.explode(keys_of(F.col("url")))).select("url", "at", "k.kind", "k.key")
+    # written, so that the join below deals its rows by key and time and can split a hot one
+    active = materialize(_as_of(keyed.select("kind", "key", "at").distinct(), intervals(entries)), "url-active")
+    valid = keyed.join(active, ["kind", "key", "at"])
     rank = F.when(F.col("kind") == "path", 3).when(F.col("kind") == "host", 2).otherwise(1)
-    best = valid.groupBy("__row").agg(
+    best = valid.groupBy("url", "at").agg(
         F.max(F.struct(rank.alias("rank"), F.length("key").alias("size"), F.col("kind"), F.col("key"), F.col("verdict"), F.col("valid_from"))).alias("best")
     )
-    joined = rows.join(best.withColumnRenamed("__row", "__best_row"), F.col("__row") == F.col("__best_row"), "left")
+    results = ("verdict", "rule_kind", "rule_key", "listed")
+    kept = captures.select(F.struct(*(F.col(c).alias(c) for c in captures.columns)).alias("__capture"), F.col(url).alias("__url"), F.col(fetched).alias("__at"))
+    joined = kept.join(best.withColumnsRenamed({"url": "__best_url", "at": "__best_at"}), (F.col("__url") == F.col("__best_url")) & (F.col("__at") == F.col("__best_at")), "left")
     return joined.select(
-        *captures.columns,
+        *(F.col("__capture")[c].alias(c + "_before" if c in results else c) for c in captures.columns),
         F.coalesce(F.col("best.verdict"), F.lit("none")).alias("verdict"),
         F.col("best.kind").alias("rule_kind"),
         F.col("best.key").alias("rule_key"),

@@ -204,6 +204,16 @@ def test_mixing_fills_targets(spark):
     again = {(r.doc_id, r.source, r.size, r.taken) for r in mixing.mix(df.repartition(7)).collect()}
     assert again == {(r.doc_id, r.source, r.size, r.taken) for r in got}
     assert mixing.mix(df.where("size < 0")).count() == 0
+    with pytest.raises(ValueError, match="taken"):
+        mixing.mix(df.selectExpr("*", "1 AS taken"))
+
+
+def test_mixing_passes_other_columns_through(spark):
+    rows = [(1, "a b c", "s", 100 + i, 200 + i, 300 + i) for i in range(4)] + [(1, "x y z", "s", 7, 7, 7), (2, None, None, 1, 1, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, target int, taken int, source_size int")
+    out = mixing.sample(df)
+    assert out.columns == df.columns and {tuple(r) for r in out.collect()} <= set(rows)
+    assert Counter(map(tuple, out.collect())) == Counter(map(tuple, mixing.sample(df.repartition(3)).collect()))
 
 
 def test_mixed_rows_repeat(spark):
@@ -282,4 +292,40 @@ def test_urls(spark):
     e = spark.createDataFrame(entries, "kind string, key string, verdict string, listed string").selectExpr("kind", "key", "verdict", "cast(listed AS date) AS listed")
     got = sorted((r.page_id, r.verdict, r.rule_kind or "") for r in urls.judge(p, e).collect())
     assert got == [(1, "block", "domain"), (1, "block", "path"), (2, "allow", "host"), (3, "none", ""), (4, "none", ""), (5, "none", ""), (6, "none", "")]
+    clash = urls.judge(p.selectExpr("page_id", "url", "fetched", "'mine' AS verdict", "7 AS at", "8 AS k", "9 AS key", "10 AS listed"), e)
+    assert clash.columns == ["page_id", "url", "fetched", "verdict_before", "at", "k", "key", "listed_before", "verdict", "rule_kind", "rule_key", "listed"]
+    assert sorted((r.page_id, r.verdict, r.rule_kind or "") for r in clash.collect()) == got
+    assert {(r.verdict_before, r["at"], r.k, r.key, r.listed_before) for r in clash.collect()} == {("mine", 7, 8, 9, 10)}
     assert urls.judge(p.where("page_id < 0"), e).count() == 0 and urls.judge(p, e.where("key = ''")).where("verdict <> 'none'").count() == 0
+
+
+def test_classifier_solves_the_dual(monkeypatch):
+    """The fit against a plain dense one: ratios by counting, and the conditions that an optimum of the dual meets."""
+    monkeypatch.setattr(quality, "EPOCHS", 3000)
+    monkeypatch.setattr(quality, "TOLERANCE", 1e-7)
+    rng = np.random.default_rng(5)
+    label = (rng.random(120) < 0.4).astype(int)
+    rows = [np.unique(np.concatenate([rng.integers(0, 40, 12), 40 + 20 * y + rng.integers(0, 20, 3)])) for y in label]
+    model = quality.fit(rows, label)
+    dense = np.zeros((len(rows), 100))
+    for i, r in enumerate(rows):
+        dense[i, r] = 1
+    counts = [dense[label == c].sum(0) + quality.ALPHA for c in (0, 1)]
+    ratio = np.log((counts[1] / ((label == 1).sum() + 2 * quality.ALPHA)) / (counts[0] / ((label == 0).sum() + 2 * quality.ALPHA)))
+    ratio[counts[0] + counts[1] <= 2 * quality.ALPHA + 1] = 0
+    assert np.allclose(model["ratio"][:100], ratio, atol=1e-5)
+    x = dense * ratio
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    used = np.arange(len(rows)) % 5 != 4
+    x, y, share = x[used], np.where(label[used] == 1, 1.0, -1.0), label.mean()
+    cost = quality.COST * np.where(y > 0, 0.5 / share, 0.5 / (1 - share))
+    w = np.divide(model["weight"][:100], ratio, out=np.zeros(100), where=ratio != 0)
+    margin = y * (x @ w + model["bias"])
+    primal = 0.5 * (w @ w + model["bias"] ** 2) + (cost * np.maximum(0, 1 - margin)).sum()
+    # projected gradient on the dense dual, from nothing
+    z = np.column_stack([x, np.ones(len(x))]) * y[:, None]
+    q, a = z @ z.T, np.zeros(len(x))
+    for _ in range(60_000):
+        a = np.clip(a - (q @ a - 1) / np.linalg.norm(q, 2), 0, cost)
+    dual = a.sum() - 0.5 * a @ q @ a
+    assert dual <= primal * (1 + 1e-6) and primal - dual < 2e-3 * primal
