@@ -129,13 +129,11 @@ def changed_keys(a: Column, b: Column) -> Column:
 
 def by_alias(pairs: Column, aliases: list[str]) -> Column:
     """Value of the first label that contains an alias; earlier aliases first, then map order."""
-    found = [F.get(F.map_values(F.map_filter(pairs, lambda k, _, a=a: F.contains(k, F.lit(a)))), 0) for a in aliases]
-    return F.coalesce(*found)
 
+    def first(alias: str) -> Column:
+        return F.get(F.map_values(F.map_filter(pairs, lambda k, _: F.contains(k, F.lit(alias)))), 0)
 
-def named_json(c: Column, name: str) -> Column:
-    """JSON object assigned to a script variable on one line, as text."""
-    return F.regexp_extract(c, rf"(?:var\s+)?{name}\s*=\s*(\{{.*?\}})\s*;?\s*(?:\n|$)", 1)
+    return F.coalesce(*(first(a) for a in aliases))
 
 
 def literal_json(c: Column) -> Column:

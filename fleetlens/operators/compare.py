@@ -45,8 +45,11 @@ def complaint_categories(texts: DataFrame, group: list[str], text: str, ordinal:
 
 
 def tag_cloud(tags: DataFrame, group: list[str]) -> DataFrame:
-    """Largest volume of each tag per sentiment (3 good, 2 bad) and its share of the group's largest."""
-    best = tags.where("name <> '' and sentiment in (2, 3)").groupBy(*group, "sentiment", "name").agg(F.max("volume").alias("volume"))
+    """Largest volume of each tag per sentiment (3 good, 2 bad) and its share of the group's largest.
+
+    The tag for everything and tags without volume are none.
+    """
+    best = tags.where("name <> '' and name <> '全部' and volume > 0 and sentiment in (2, 3)").groupBy(*group, "sentiment", "name").agg(F.max("volume").alias("volume"))
     top = best.groupBy(*group, "sentiment").agg(F.max("volume").alias("top"))
     return best.join(top, [*group, "sentiment"]).withColumn("share", F.col("volume") / F.col("top")).drop("top")
 
@@ -65,9 +68,9 @@ def headline_sales(sales: DataFrame, key: str = "series") -> DataFrame:
 
 
 def sales_ranks(headline: DataFrame, group: list[str], ordinal: str) -> DataFrame:
-    """Places by sales within a comparison; equal sales keep their order."""
-    w = Window.partitionBy(*group).orderBy(F.col("count").desc(), F.col(ordinal))
-    return headline.withColumn("place", F.row_number().over(w))
+    """Places by sales within a comparison, and how many were ranked; equal sales keep their order."""
+    w = Window.partitionBy(*group)
+    return headline.withColumn("place", F.row_number().over(w.orderBy(F.col("count").desc(), F.col(ordinal)))).withColumn("ranked", F.count("*").over(w))
 
 
 def score_vs_mean(scores: DataFrame, group: list[str]) -> DataFrame:
@@ -117,9 +120,9 @@ def suggestions(complaints: DataFrame, dims: DataFrame, group: list[str]) -> Dat
 
 
 def overview(scores: DataFrame, gaps: DataFrame, prices: DataFrame, ranks: DataFrame, group: list[str]) -> DataFrame:
-    """Findings of a comparison side by side, and its verdict in words."""
-    j = scores.join(gaps, group, "full").join(prices.select(*group, "position"), group, "full").join(ranks.select(*group, "place"), group, "full")
-    wins = F.array_compact(F.array(F.when(F.col("place") == 1, "sales"), F.when(F.col("diff") >= 0, "score"), F.when(F.col("position") == "lowest", "price")))
+    """Findings of a comparison side by side, and its verdict in words; a place counts among two or more."""
+    j = scores.join(gaps, group, "full").join(prices.select(*group, "position"), group, "full").join(ranks.select(*group, "place", "ranked"), group, "full")
+    wins = F.array_compact(F.array(F.when((F.col("place") == 1) & (F.col("ranked") > 1), "sales"), F.when(F.col("diff") >= 0, "score"), F.when(F.col("position") == "lowest", "price")))
     lead = F.when(F.col("best_gap") > GAP, F.col("best_dim"))
     lack = F.when(F.col("worst_gap") < -GAP, F.col("worst_dim"))
     head = F.when((F.size(wins) > 0) | lead.isNotNull(), F.concat_ws("; ", F.when(F.size(wins) > 0, F.concat(F.lit("ahead in "), F.array_join(wins, ", "))), F.concat(F.lit("best in "), lead))).otherwise("close to competitors")

@@ -24,7 +24,7 @@ def complaint_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tag_cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    tags = e.select((F.col("user_id") % 10).alias("series"), F.when(F.col("event_type") == "error", 2).when(F.col("event_type") == "click", 1).otherwise(3).alias("sentiment"), F.concat(F.lit("t"), F.hour("ts")).alias("name"), F.get_json_object("props", "$.k").cast("int").alias("volume"))
+    tags = e.select((F.col("user_id") % 10).alias("series"), F.when(F.col("event_type") == "error", 2).when(F.col("event_type") == "click", 1).otherwise(3).alias("sentiment"), F.when(F.hour("ts") == 0, "全部").otherwise(F.concat(F.lit("t"), F.hour("ts"))).alias("name"), F.get_json_object("props", "$.k").cast("int").alias("volume"))
     return compare.tag_cloud(tags, ["series"]).withColumn("share", F.round("share", 6))
 
 
@@ -204,7 +204,7 @@ _HEAD = SQL_SALES + ", head AS (SELECT series, s_nationkey, source, span, CAST(c
 _MOVE = "CAST((CAST(year(d) AS BIGINT) * 12 + month(d) - 1 + {n}) // 12 AS VARCHAR) || '-' || lpad(CAST((CAST(year(d) AS BIGINT) * 12 + month(d) - 1 + {n}) % 12 + 1 AS VARCHAR), 2, '0')"
 ORACLES = {
     "complaint_categories": f"WITH {_TEXTS}, r AS (SELECT *, row_number() OVER (PARTITION BY series, category ORDER BY ordinal) AS k FROM hit) SELECT series, category, count(*) AS n, string_agg(md5(text), ',' ORDER BY k) FILTER (k <= 2) AS samples FROM r GROUP BY 1, 2",
-    "tag_cloud": "WITH t AS (SELECT user_id % 10 AS series, CASE WHEN event_type = 'error' THEN 2 ELSE 3 END AS sentiment, 't' || hour(ts) AS name, max(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS volume FROM events WHERE event_type <> 'click' GROUP BY 1, 2, 3) SELECT *, round(volume * 1.0 / max(volume) OVER (PARTITION BY series, sentiment), 6) AS share FROM t",
+    "tag_cloud": "WITH t AS (SELECT user_id % 10 AS series, CASE WHEN event_type = 'error' THEN 2 ELSE 3 END AS sentiment, 't' || hour(ts) AS name, max(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS volume FROM events WHERE event_type <> 'click' AND hour(ts) <> 0 AND CAST(json_extract_string(props, '$.k') AS INTEGER) > 0 GROUP BY 1, 2, 3) SELECT *, round(volume * 1.0 / max(volume) OVER (PARTITION BY series, sentiment), 6) AS share FROM t",
     "quotes_topk": f"WITH {_TEXTS}, r AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY ordinal) AS place FROM t WHERE length(trim(text)) >= 20) SELECT series, place, ordinal FROM r WHERE place <= 3",
     "dim_gaps": f"{S}, {_GAPS} SELECT grp, best_dim, round(best_gap, 6) AS best_gap, worst_dim, round(worst_gap, 6) AS worst_gap FROM ends",
     "score_vs_mean": f"WITH {_ONE}, a AS (SELECT grp, max(score) FILTER (own AND score > 0) AS own_score, avg(score) FILTER (NOT own AND score > 0) AS mean, count(*) FILTER (NOT own AND score <= 0) AS excluded FROM one GROUP BY 1) SELECT grp, own_score, round(mean, 6) AS mean, round(own_score - mean, 6) AS diff, excluded FROM a WHERE own_score IS NOT NULL AND mean IS NOT NULL",

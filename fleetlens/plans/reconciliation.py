@@ -116,11 +116,12 @@ def retry_plan_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def missing_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = catalog(spark, sf_dir)
     status = F.element_at(F.array(*map(F.lit, OUTCOMES)), (F.pmod(F.col("id"), F.lit(len(OUTCOMES))) + 1).cast("int"))
-    missing = c.where("id % 2 = 0").select(F.col("id").alias("product"), F.col("model_code").alias("model"))
-    best = reconcile.best_outcomes(c.where("id % 6 = 1").select(F.col("model_code").alias("key"), F.col("id").alias("run_id"), status.alias("status")))
+    missing = c.select(F.col("id").alias("product"), F.col("model_code").alias("model"))
+    best = reconcile.best_outcomes(c.where("official_category in ('专用车', '客车')").select(F.col("model_code").alias("key"), F.col("id").alias("run_id"), status.alias("status")))
     events = table(spark, sf_dir, "events").select(F.col("user_id").alias("product"), F.col("event_type").alias("event"))
     return reconcile.missing_reasons(
-        missing, c.where("id % 9 = 1").select(F.col("model_code").alias("model")), best.select(F.col("key").alias("model"), "status"), c.where("id % 8 = 3").select(F.col("model_code").alias("model")), events
+        missing, c.where("official_category = '乘用车' and energy_type = '纯电动'").select(F.col("model_code").alias("model")), best.select(F.col("key").alias("model"), "status"),
+        c.where("official_category = '载货汽车'").select(F.col("model_code").alias("model")), events,
     )
 
 
@@ -161,7 +162,7 @@ def cache_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = catalog(spark, sf_dir).where("id % 17 <> 3 and cast(batch as bigint) % 9 <> 4").select(F.col("batch").cast("bigint").alias("batch"))
+    b = table(spark, sf_dir, "documents").select(F.pmod("n_chars", F.lit(700)).cast("bigint").alias("batch"))
     return reconcile.missing_batches(b)
 
 
@@ -180,8 +181,8 @@ def non_pdf_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def refresh_unavailable(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = catalog(spark, sf_dir)
-    refresh = c.where("id % 3 = 0").select(F.col("id").alias("product"), "batch", F.lower("model_code").alias("model"))
-    attempts = c.where("id % 4 = 0").select(F.col("id").alias("product"), F.when(F.col("id") % 8 == 0, "999").otherwise(F.col("batch")).alias("batch"), F.col("model_code").alias("model"))
+    refresh = c.select(F.col("id").alias("product"), "batch", F.lower("model_code").alias("model"))
+    attempts = c.select(F.col("id").alias("product"), F.when(F.col("id") % 2 == 0, "999").otherwise(F.col("batch")).alias("batch"), F.col("model_code").alias("model"))
     return reconcile.refresh_split(refresh, attempts)
 
 
@@ -245,10 +246,6 @@ def scope_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.scope_evidence(o)
 
 
-def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.fingerprint(occurrences(spark, sf_dir))
-
-
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = runs(spark, sf_dir)
     return r.groupBy("user_id").agg(*(F.count_if(F.col("status") == s).alias(s) for s in ("done", "partial", "no_match", "query_failed")), F.count("*").alias("models"))
@@ -283,20 +280,20 @@ SELECT CASE WHEN gate <> 'accepted' THEN gate WHEN NOT (e.batch > 78 AND e.batch
   WHEN coalesce(CASE WHEN e.product = '' THEN v.ok ELSE v1.ok END, false) THEN 'resolved_valid_pdf' WHEN next_check > {_D} THEN 'deferred' ELSE 'due' END AS bucket, count(*) AS n
 FROM evs e LEFT JOIN v ON v.model = e.model AND v.batch = e.batch LEFT JOIN v1 ON v1.model = e.model AND v1.batch = e.batch AND v1.product = e.product GROUP BY 1""",
     "retry_plan_groups": f"WITH {SQL_EVENTS}, o AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN CAST(event_date AS VARCHAR) ELSE '' END AS c FROM evs), g AS (SELECT model, batch, min((c, event_id)) AS f FROM o GROUP BY 1, 2), r AS (SELECT model, batch, row_number() OVER (ORDER BY f) AS k FROM g) SELECT event_id, CASE WHEN k <= 40 THEN 'pending' ELSE 'remaining' END AS plan FROM o JOIN r USING (model, batch)",
-    "missing_reasons": f"""{C}, best AS (SELECT model_code AS model, status FROM (SELECT *, {_STATUS} AS status FROM catalog WHERE id % 6 = 1) QUALIFY row_number() OVER (PARTITION BY model_code ORDER BY {SQL_RANK} DESC, id DESC) = 1),
+    "missing_reasons": f"""{C}, best AS (SELECT model_code AS model, status FROM (SELECT *, {_STATUS} AS status FROM catalog WHERE official_category IN ('专用车', '客车')) QUALIFY row_number() OVER (PARTITION BY model_code ORDER BY {SQL_RANK} DESC, id DESC) = 1),
 e AS (SELECT user_id AS product, array_to_string(list_sort(list_distinct(list(event_type))), ';') AS events FROM events GROUP BY 1)
-SELECT c.id AS product, c.model_code AS model, CASE WHEN c.model_code IN (SELECT model_code FROM catalog WHERE id % 9 = 1) THEN 'model_has_other_pdf' WHEN status = 'no_match' THEN 'no_match' WHEN status IN ('query_failed', 'interrupted', 'querying') THEN 'query_failed'
-  WHEN c.model_code IN (SELECT model_code FROM catalog WHERE id % 8 = 3) THEN 'vehicle_known' WHEN events IS NOT NULL THEN 'has_events' ELSE 'never_seen' END AS reason, coalesce(events, '') AS events
-FROM catalog c LEFT JOIN best ON best.model = c.model_code LEFT JOIN e ON e.product = c.id WHERE c.id % 2 = 0""",
+SELECT c.id AS product, c.model_code AS model, CASE WHEN c.model_code IN (SELECT model_code FROM catalog WHERE official_category = '乘用车' AND energy_type = '纯电动') THEN 'model_has_other_pdf' WHEN status = 'no_match' THEN 'no_match' WHEN status IN ('query_failed', 'interrupted', 'querying') THEN 'query_failed'
+  WHEN c.model_code IN (SELECT model_code FROM catalog WHERE official_category = '载货汽车') THEN 'vehicle_known' WHEN events IS NOT NULL THEN 'has_events' ELSE 'never_seen' END AS reason, coalesce(events, '') AS events
+FROM catalog c LEFT JOIN best ON best.model = c.model_code LEFT JOIN e ON e.product = c.id""",
     "mean_size_estimate": "WITH r AS (SELECT c_mktsegment AS channel, CAST(floor(o_totalprice) AS BIGINT) AS bytes, o_orderstatus AS s FROM orders JOIN customer ON o_custkey = c_custkey), m AS (SELECT channel, avg(bytes) AS mean FROM r WHERE s = 'F' GROUP BY 1) SELECT channel, count(*) AS n, CAST(round_even(count(*) * any_value(mean), 0) AS BIGINT) AS estimated FROM r LEFT JOIN m USING (channel) WHERE s = 'P' GROUP BY 1",
     "document_states": f"""WITH d AS (SELECT doc_id, quality AS is_pdf, CASE WHEN doc_id % 9 = 0 THEN 0 ELSE n_chars END AS size, CASE WHEN doc_id % 19 = 0 THEN '' ELSE 'f/' || doc_id END AS path, toxic = 1 AS failed, CASE WHEN doc_id % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS found FROM documents LEFT JOIN labels USING (doc_id))
 SELECT doc_id, CASE WHEN is_pdf IS NULL THEN 'no_document' WHEN failed OR (is_pdf = 0 AND size = 0) THEN 'download_failed' WHEN path = '' OR size = 0 OR found <> size THEN 'pdf_invalid' WHEN is_pdf = 0 THEN 'non_pdf' WHEN doc_id % 5 = 0 THEN 'pdf_unparsed' ELSE 'parsed' END AS state FROM d""",
     "cache_completeness": f"{C} SELECT id, id % 6 <> 0 AND id % 5 <> 0 AND id % 15 <> 1 AND id % 4 <> 1 AND id % 12 <> 0 AND id % 10 <> 0 AND id % 28 + 1 <= 19 AND id % 28 + 1 >= 13 AS complete FROM catalog",
     "cache_diagnostics": "WITH c AS (SELECT user_id AS batch, max(ts) AS complete_at FROM events WHERE event_type = 'view' GROUP BY 1), n AS (SELECT user_id AS batch, ts, event_type = 'error' AS partial FROM events WHERE event_type <> 'view' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type = 'error' DESC) = 1) SELECT batch, partial, coalesce(complete_at > ts, false) AS superseded FROM n LEFT JOIN c USING (batch)",
-    "missing_batches": f"{C}, b AS (SELECT DISTINCT CAST(batch AS BIGINT) AS batch FROM catalog WHERE id % 17 <> 3 AND CAST(batch AS BIGINT) % 9 <> 4) SELECT s AS batch FROM (SELECT unnest(range((SELECT min(batch) FROM b), (SELECT max(batch) + 1 FROM b))) AS s) WHERE s NOT IN (SELECT batch FROM b)",
+    "missing_batches": f"WITH b AS (SELECT DISTINCT CAST(n_chars % 700 AS BIGINT) AS batch FROM documents) SELECT s AS batch FROM (SELECT unnest(range((SELECT min(batch) FROM b), (SELECT max(batch) + 1 FROM b))) AS s) WHERE s NOT IN (SELECT batch FROM b)",
     "sound_batches": "WITH o AS (SELECT o_custkey % 400 AS batch, CASE WHEN o_orderkey % 997 = 0 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS product, CASE WHEN o_orderkey % 499 = 0 THEN -1 ELSE o_custkey % 400 END AS rb FROM orders) SELECT batch, product FROM o WHERE batch NOT IN (SELECT batch FROM o WHERE product IS NULL OR rb <> batch)",
     "non_pdf_attempts": f"{C} SELECT CAST(id AS VARCHAR) AS product, batch, upper(model_code) AS model, id AS run_id FROM catalog WHERE id % 5 <> 0 AND (id % 6 <> 0 OR batch = '1')",
-    "refresh_unavailable": f"{C} SELECT id AS product, batch, model_code AS model, CASE WHEN id % 4 = 0 AND id % 8 <> 0 THEN 'refresh_source_unavailable' ELSE 'refresh' END AS list FROM catalog WHERE id % 3 = 0",
+    "refresh_unavailable": f"{C} SELECT id AS product, batch, model_code AS model, CASE WHEN id % 2 <> 0 THEN 'refresh_source_unavailable' ELSE 'refresh' END AS list FROM catalog",
     "download_slots_10min": "SELECT substr(strftime(ts, '%Y-%m-%dT%H:%M:%S'), 1, 15) AS slot, count(*) AS n FROM events GROUP BY 1",
     "batch_expression": "SELECT p_partkey, array_to_string(list_sort(list_distinct(list_concat([173], range(300 + p_partkey % 50, 300 + p_partkey % 50 + p_size % 5 + 1), [302 + p_partkey % 50]))), ',') AS batches FROM part",
     "generation_delta": "WITH g AS (SELECT CAST(day(ts) AS INTEGER) AS generation, count(*) AS n, count(*) FILTER (event_type = 'error') AS errors FROM events GROUP BY 1) SELECT *, n - lag(n) OVER (ORDER BY generation) AS n_delta, errors - lag(errors) OVER (ORDER BY generation) AS errors_delta FROM g",
@@ -312,5 +309,4 @@ a AS (SELECT status, count(*) AS events FROM s GROUP BY 1), b AS (SELECT status,
     "run_counters": f"WITH {SQL_RUNS} SELECT user_id, {', '.join(f'count(*) FILTER (status = {s!r}) AS {s}' for s in ('done', 'partial', 'no_match', 'query_failed'))}, count(*) AS models FROM runs GROUP BY 1",
     "map_merge": f"{C} SELECT id, range_km AS merged, CASE WHEN fuel <> '' THEN fuel ELSE energy_type END AS filled, CASE WHEN energy_type <> '' THEN energy_type ELSE fuel END AS overwritten, fuel AS defaulted, concat_ws(',', CASE WHEN fuel <> energy_type THEN 'a' END, 'b', 'c', CASE WHEN seq <> range_km THEN 'engine' END) AS changed FROM catalog",
 }
-ROWS_ONLY = ("fingerprint",)
-QUERIES = {name: globals()[name] for name in (*ORACLES, *ROWS_ONLY)}
+QUERIES = {name: globals()[name] for name in ORACLES}
