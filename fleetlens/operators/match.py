@@ -3,37 +3,64 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import has_token, model_token, norm_key, norm_series
 
 
+#: Longest piece of a name that names are looked up by.
+PIECE = 8
+
+
+def _pieces(c: Column) -> Column:
+    """All distinct substrings of 1 to PIECE characters."""
+
+    def of_length(k: Column) -> Column:
+        return F.transform(F.filter(F.sequence(F.lit(1), F.length(c)), lambda i: i <= F.length(c) - k + 1), lambda i: F.substring(c, i, k))
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(PIECE)), of_length)))
+
+
+def contained(inner: DataFrame, part: str, outer: DataFrame, whole: str) -> DataFrame:
+    """Pairs of rows where column ``part``, which isn't empty, is contained in column ``whole``; each pair once.
+
+    An equi-join: the first PIECE characters of a part are looked up among the whole's
+    pieces, then the part is compared in full. Pieces grow with a name's length only.
+    """
+    left = inner.where(F.length(part) > 0).withColumn("__piece", F.substring(part, F.lit(1), F.lit(PIECE)))
+    right = outer.where(F.length(whole) > 0).withColumn("__piece", F.explode(_pieces(F.col(whole))))
+    return left.join(right, "__piece").where(F.contains(whole, part)).drop("__piece")
+
+
 def match_series(wanted: DataFrame, sales: DataFrame, *, name: str = "name", series: str = "series", ordinal: str = "ordinal") -> DataFrame:
     """Sales row of each wanted name: equal names, else one containing the other, else a unique model token.
 
-    Equality is an equi-join. Only names it leaves open go to the containment passes,
-    which compare distinct names against distinct series of the (small) ranking.
+    Only names that a pass leaves open go to the next. A name without characters is
+    contained in every series: it takes the first.
     """
     w = wanted.select(name).distinct().withColumn("__key", norm_series(F.col(name)))
     s = sales.withColumn("__norm", norm_series(F.col(series))).groupBy("__norm").agg(F.min(F.struct(ordinal, series)).alias("s"))
     exact = w.join(s, w["__key"] == s["__norm"]).select(name, F.lit(1).alias("pass"), F.col(f"s.{series}").alias(series))
     rest = w.join(exact.select(name), name, "left_anti").withColumn("__token", model_token(F.col(name)))
-    rows = sales.withColumn("__norm", norm_series(F.col(series))).where("__norm <> ''")
-    near = rest.join(rows, F.contains("__norm", "__key") | F.contains("__key", "__norm")).groupBy(name).agg(F.min(F.struct(ordinal, series)).alias("s"))
+    rows = sales.withColumn("__norm", norm_series(F.col(series))).where("__norm <> ''").select(ordinal, series, "__norm")
+    found = contained(rest, "__key", rows, "__norm").unionByName(contained(rows, "__norm", rest, "__key"))
+    near = found.groupBy(name).agg(F.min(F.struct(ordinal, series)).alias("s"))
+    first = rows.agg(F.min(F.struct(ordinal, series)).alias("s")).where("s is not null")  # one row
+    near = near.unionByName(rest.where("__key = ''").select(name).crossJoin(F.broadcast(first)))
     near = near.select(name, F.lit(2).alias("pass"), F.col(f"s.{series}").alias(series))
     left = rest.where("__token <> ''").join(near.select(name), name, "left_anti")
-    token = left.join(rows, has_token(F.col("__norm"), F.col("__token"))).groupBy(name).agg(F.count("*").alias("n"), F.min(series).alias(series)).where("n = 1")
+    token = contained(left, "__token", rows, "__norm").where(has_token(F.col("__norm"), F.col("__token"))).groupBy(name).agg(F.count("*").alias("n"), F.min(series).alias(series)).where("n = 1")
     return exact.unionByName(near).unionByName(token.select(name, F.lit(3).alias("pass"), series))
 
 
 def match_profiles(names: DataFrame, profiles: DataFrame, *, name: str = "name", profile: str = "profile", ordinal: str = "ordinal") -> DataFrame:
     """Profile of each name: equal key, else the longest key that contains it or that it contains, earlier profiles first."""
     n = names.select(name).distinct().withColumn("__key", norm_key(F.col(name))).where("__key <> ''")
-    p = profiles.withColumn("__norm", norm_key(F.col("alias"))).where("__norm <> ''")
+    p = profiles.withColumn("__norm", norm_key(F.col("alias"))).where("__norm <> ''").select(ordinal, profile, "__norm")
     exact = n.join(p, n["__key"] == p["__norm"]).groupBy(name).agg(F.min(F.struct(ordinal, profile)).alias("b")).select(name, F.lit(True).alias("exact"), F.col(f"b.{profile}").alias(profile))
     rest = n.join(exact.select(name), name, "left_anti")
-    near = rest.join(p, F.contains("__norm", "__key") | F.contains("__key", "__norm"))
+    near = contained(rest, "__key", p, "__norm").unionByName(contained(p, "__norm", rest, "__key"))
     best = F.min(F.struct((-F.length("__norm")).alias("l"), F.col(ordinal), F.col(profile)))
     return exact.unionByName(near.groupBy(name).agg(best.alias("b")).select(name, F.lit(False).alias("exact"), F.col(f"b.{profile}").alias(profile)))
 

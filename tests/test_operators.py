@@ -99,3 +99,19 @@ def test_fingerprint_ignores_order(spark):
     df = spark.range(100).withColumn("x", F.col("id") % 7)
     assert reconcile.fingerprint(df).first() == reconcile.fingerprint(df.orderBy(F.desc("id")).repartition(3)).first()
     assert reconcile.fingerprint(df).first() != reconcile.fingerprint(df.where("id < 99")).first()
+
+
+def test_contained_is_all_pairs(spark):
+    names = ["a", "ab", "abcdefghij", "bcdefghijk", "abcdefghijk", "aab", "", "秦", "秦l", "bb", "zz"]
+    inner = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, part string")
+    outer = spark.createDataFrame([(j, n) for j, n in enumerate([*names, "ab"])], "j int, whole string")
+    got = rows(match.contained(inner, "part", outer, "whole").select("i", "j"))
+    assert got == sorted((i, j) for i, a in enumerate(names) for j, b in enumerate([*names, "ab"]) if a and b and a in b)
+    plan = match.contained(inner, "part", outer, "whole")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cartesian" not in plan and "__piece" in plan
+
+
+def test_names_without_characters_take_the_first(spark):
+    wanted = spark.createDataFrame([(" ",), ("秦PLUS",), ("汉 77",), ("唐",)], "name string")
+    sales = spark.createDataFrame([(1, "宋77"), (2, "秦"), (3, "汉177")], "ordinal int, series string")
+    assert rows(match.match_series(wanted, sales)) == [(" ", 2, "宋77"), ("汉 77", 3, "宋77"), ("秦PLUS", 2, "秦")]
