@@ -18,6 +18,7 @@ their own; rows with equal ids are scanned one by one; an empty table gives no r
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,8 +27,8 @@ from ._spark import table
 
 DICE = 0.8
 
-#: (license, name of the template, text)
-TEMPLATES = (
+# Headers and statements as (license, name of the template, text).
+HEADERS = (
     ("MIT", "mit-line", "Released under the MIT License."),
     ("MIT", "mit-line-2", "Licensed under the MIT License."),
     ("MIT", "mit-grant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
@@ -49,6 +50,35 @@ TEMPLATES = (
     ("Unlicense", "unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+# Public license texts in full, without title and copyright line.
+_MIT_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+_MIT_NOTICE = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+_MIT_WARRANTY = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_ISC_GRANT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+_ISC_WARRANTY = "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+_BSD_CONDITIONS = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_BSD_SOURCE = "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
+_BSD_BINARY = "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_WARRANTY = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_ZLIB = "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."
+_UNLICENSE = "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+_GPL_NOTICE = "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
+
+FULL_TEXTS = (
+    ("MIT", "mit-text", f"{_MIT_GRANT} {_MIT_NOTICE} {_MIT_WARRANTY}"),
+    ("MIT", "mit-warranty", _MIT_WARRANTY),
+    ("ISC", "isc-text", f"{_ISC_GRANT} {_ISC_WARRANTY}"),
+    ("ISC", "isc-warranty", _ISC_WARRANTY),
+    ("BSD-2-Clause", "bsd2-text", f"{_BSD_CONDITIONS} {_BSD_SOURCE} {_BSD_BINARY} {_BSD_WARRANTY}"),
+    ("BSD-3-Clause", "bsd3-text", f"{_BSD_CONDITIONS} {_BSD_SOURCE} {_BSD_BINARY} {_BSD_NAMES} {_BSD_WARRANTY}"),
+    ("BSD-3-Clause", "bsd3-names", _BSD_NAMES),
+    ("Zlib", "zlib-text", _ZLIB),
+    ("Unlicense", "unlicense-opening", _UNLICENSE),
+    ("GPL", "gpl-warranty", _GPL_NOTICE),
+)
+TEMPLATES = HEADERS + FULL_TEXTS
+
 
 def bigrams_of(text: str) -> list[str]:
     words = re.sub(r"[\W_]+", " ", text.lower()).split()
@@ -77,6 +107,17 @@ def hints(bigrams: list[str], dice: float = DICE) -> list[str]:
     return chosen
 
 
+def any_of(words: Iterable[str]) -> str:
+    """Regular expression of ``words`` where a word begins, in lower case, grouped by their first letters.
+
+    Normalised words begin behind what is no letter or digit, so behind no ASCII one.
+    """
+    by_letter: dict[str, list[str]] = {}
+    for w in words:
+        by_letter.setdefault(w[0], []).append(w[1:])
+    return "(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in sorted(by_letter.items())) + ")"
+
+
 def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
@@ -93,7 +134,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, *, dice: float = DICE) -> DataFra
     grams = {name: bigrams_of(text) for _, name, text in templates}
     license_of = {name: lic for lic, name, _ in templates}
     chosen = sorted({h for g in grams.values() for h in hints(g, dice)}, key=lambda h: (len(h), h))
-    hint = "|".join(h for i, h in enumerate(chosen) if not any(other in h for other in chosen[:i]))
+    hint = any_of(h for i, h in enumerate(chosen) if not any(h.startswith(other) for other in chosen[:i]))
     index = spark.createDataFrame([(b, license_of[n], n, len(g)) for n, g in grams.items() for b in g], "bigram string, license string, template string, size int")
     likely = docs.select("doc_id", "text").where(F.lower("text").rlike(hint)).withColumn("row", F.monotonically_increasing_id())
 

@@ -329,3 +329,29 @@ def test_classifier_solves_the_dual(monkeypatch):
         a = np.clip(a - (q @ a - 1) / np.linalg.norm(q, 2), 0, cost)
     dual = a.sum() - 0.5 * a @ q @ a
     assert dual <= primal * (1 + 1e-6) and primal - dual < 2e-3 * primal
+
+
+def test_whole_license_files(spark):
+    full = {n: t for _, n, t in licenses.TEMPLATES}
+    texts = [
+        "MIT License\n\nCopyright (c) 2024 A B\n\n" + full["mit-text"].replace("conditions: ", "conditions:\n\n").replace("Software. THE", "Software.\n\nTHE"),
+        "BSD\n\n" + full["bsd3-text"], full["zlib-text"].replace(". ", ".\n"), "x_Released_under_the_MIT_License_", "__Released_under_the_MIT_License__", "sublicense relicensed unlicensed",
+    ]
+    got = {(r.doc_id, r.unit, r.template) for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert {(0, "text", "mit-text"), (1, "text", "bsd3-text"), (1, "line", "bsd3-text"), (2, "paragraph", "zlib-text")} <= got
+    assert (0, "line", "mit-warranty") in got and (0, "line", "mit-grant") in got and (4, "line", "mit-line") in got
+    assert not [g for g in got if g[0] == 5]
+
+
+def test_hints_are_lossless():
+    import re
+
+    any_hint = [re.compile(licenses.any_of(licenses.hints(licenses.bigrams_of(t))).replace(r"[^\p{L}\p{N}]", r"[\W_]")) for _, _, t in licenses.TEMPLATES]
+    rng = np.random.default_rng(5)
+    for hint, (_, _, t) in zip(any_hint, licenses.TEMPLATES):
+        words = re.sub(r"[\W_]+", " ", t.lower()).split()
+        for _ in range(40):
+            kept = [w for w in words if rng.random() < 0.85]
+            a, b = set(licenses.bigrams_of(" ".join(kept))), set(licenses.bigrams_of(t))
+            if a and 2 * len(a & b) / (len(a) + len(b)) >= licenses.DICE:
+                assert hint.search("_".join(kept))
