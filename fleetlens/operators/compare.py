@@ -33,7 +33,7 @@ def valid_score(c: Column) -> Column:
 def complaint_categories(texts: DataFrame, group: list[str], text: str, ordinal: str, lexicon: dict[str, list[str]] = COMPLAINTS, samples: int = 2) -> DataFrame:
     """Texts per category (each counts once) with its first samples; ties by category name.
 
-    Samples are the least (ordinal, text) pairs: minima combine before the shuffle, texts aren't gathered.
+    Samples are the first texts by ordinal; the limit on the row number applies before the shuffle too, so few texts move.
     """
     hits = F.array_compact(F.array(*(F.when(F.col(text).rlike("|".join(words)), F.lit(c)) for c, words in lexicon.items())))
     long = texts.withColumn("category", F.explode(hits))
