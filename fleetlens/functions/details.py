@@ -109,3 +109,76 @@ def script_json(c: Column, name: str) -> Column:
 
     end = F.aggregate(F.filter(F.split(rest, ""), lambda x: x != ""), start, step)
     return F.when(end["done"], F.substring(rest, F.lit(1), end["n"])).otherwise("")
+
+
+def attachment_stem(catalogue: Column, batch: Column) -> Column:
+    """Readable name of a catalogue's attachment; '' where catalogue or batch is unknown."""
+    c, b = _text(catalogue), _text(batch)
+    kind = F.when(F.contains(c, F.lit("购置税")), "购置税").when(F.contains(c, F.lit("车船税")), "车船税").when(F.contains(c, F.lit("推荐")), "推荐")
+    return F.when((c == "") | (b == "") | kind.isNull(), "").otherwise(F.concat(kind, F.lit("目录第"), b, F.lit("批")))
+
+
+def _announced(title: Column) -> Column:
+    return F.regexp_extract(_text(title), r"《道路机动车辆生产企业及产品》[（(]第(\d+)批[）)]", 1)
+
+
+def stem_of_title(catalogue: Column, title: Column) -> Column:
+    """Name by the article's title, for attachments that don't tell their batch."""
+    c, b = _text(catalogue), _announced(title)
+    listed = F.regexp_extract(_text(title), r"《新能源汽车推广应用推荐车型目录》[（(]([^）)]+)[）)]", 1)
+    formal = F.when(b == "", "").otherwise(F.concat(F.lit("公告第"), b, F.lit("批附件")))
+    return F.when(c.isin("", "目录"), formal).when(F.contains(c, F.lit("推荐")) & (listed != ""), F.concat(F.lit("推荐目录"), listed)).otherwise("")
+
+
+def article_folder(article: Column, title: Column) -> Column:
+    b = _announced(title)
+    return F.when(b == "", article).otherwise(F.concat(article, F.lit("_公告第"), b, F.lit("批")))
+
+
+def score_text(score: Column, reviews: Column) -> Column:
+    """A score with two digits; of too few reviews '-' and their number."""
+    n = F.coalesce(reviews, F.lit(0))
+    few = F.when(n != 0, F.concat(F.lit("-（样本 "), n, F.lit(" 条）"))).otherwise("-")
+    return F.when(F.coalesce(score, F.lit(0.0)) <= 0, few).otherwise(F.format_string("%.2f", score))
+
+
+def sales_label(month: Column) -> Column:
+    return F.when(_text(month) == "", "月销量（月份未获取）").otherwise(F.concat(month, F.lit("销量")))
+
+
+def sales_header(month: Column) -> Column:
+    """Header over several vehicles (an aggregate): the month where all share one."""
+    m = F.nullif(month, F.lit(""))
+    return F.when(F.count(m) == 0, "月销量").when(F.min(m) == F.max(m), F.concat(F.min(m), F.lit("销量"))).otherwise("月销量（含月份）")
+
+
+def image_names(html: Column, product: Column, batch: Column, model: Column, base: str) -> Column:
+    """Struct (names, error) of a detail page's photos: links below base + '/getPic', first of equal names.
+
+    A page of another product, batch or model, or with a link of another product, gives an
+    error and no names; pictures from elsewhere are passed over. Relative links belong to base.
+    """
+    # Labels of the page's cells.
+    labels = {"产品ID": product, "批次": batch, "车辆型号": model}
+    rows = F.regexp_extract_all(_text(html), F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
+    cells = F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<td[^>]*>(.*?)</td>"), F.lit(1)), lambda c: F.trim(F.regexp_replace(c, r"<[^>]*>", ""))))
+    pairs = F.flatten(F.transform(cells, lambda c: F.when(F.size(c) > 1, F.arrays_zip(F.slice(c, F.lit(1), F.size(c) - 1).alias("k"), F.slice(c, 2, F.size(c)).alias("v"))).otherwise(F.array())))
+
+    def field(label: str) -> Column:
+        return F.try_element_at(F.filter(pairs, lambda p: p["k"] == label), F.lit(-1))["v"]
+
+    same = F.lit(True)
+    for label, value in labels.items():
+        same = same & field(label).eqNullSafe(_text(value))
+    same = same & (_text(product) != "") & (_text(batch) != "")
+    sources = F.transform(F.regexp_extract_all(_text(html), F.lit(r"(?is)<img\s[^>]*?src=[\"']([^\"']*)[\"']"), F.lit(1)), lambda u: F.regexp_replace(u, "&amp;", "&"))
+    full = F.transform(sources, lambda u: F.when(u.rlike("^[a-z]+://"), u).when(F.startswith(u, F.lit("/")), F.concat(F.lit("/".join(base.split("/")[:3])), u)).otherwise(F.concat(F.lit(base + "/"), u)))
+    links = F.filter(full, lambda u: F.substring_index(u, "?", 1) == base + "/getPic")
+
+    def values(u: Column, key: str) -> Column:
+        return F.regexp_extract_all(F.concat(F.lit("&"), F.substring_index(u, "?", -1)), F.lit(f"&{key}=([^&#]+)"), F.lit(1))
+
+    own = F.forall(links, lambda u: (values(u, "gid") == F.array(product)) & (values(u, "pc") == F.array(batch)) & (F.size(values(u, "zpname")) == 1))
+    error = F.when(~same, "identity").when(~own, "link")
+    names = F.array_distinct(F.transform(links, lambda u: F.try_url_decode(values(u, "zpname")[0])))
+    return F.struct(F.when(error.isNull(), names).alias("names"), error.alias("error"))

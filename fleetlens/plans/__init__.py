@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import catalog, comparison, details, pages, reconciliation, texts
+from . import catalog, comparison, details, pages, reconciliation, recovery, texts
 
-_FAMILIES = (catalog, reconciliation, comparison, texts, details, pages)
+_FAMILIES = (catalog, reconciliation, comparison, texts, details, pages, recovery)
 
 QUERIES = {name: q for family in _FAMILIES for name, q in family.QUERIES.items()}
 ORACLES = {name: sql for family in _FAMILIES for name, sql in family.ORACLES.items()}

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import product_id
-from ..functions.text import first_filled, norm_key, norm_model
+from ..functions.text import first_filled, norm_model
+from ..operators.recovery import profile_actions, profile_keys
 
 PRODUCT = "cpid string, gid string, clxh string, clmc string, gppc string, pc string, dataTag string, cpsb string, qymc string"
 CACHE = f"batch int, cache_version int, complete boolean, absent_upstream boolean, fetched_at string, failures array<string>, verify_prefixes array<string>, verify_missed int, products array<struct<{PRODUCT.replace(' string', ':string')}>>"
@@ -55,15 +56,22 @@ def profiles(spark: SparkSession, path: str) -> DataFrame:
     def either(c: str) -> Column:
         return F.coalesce(F.col(f"gonggao.{c}"), F.col(c))
 
-    keys = F.array_distinct(F.transform(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>"))), lambda x: norm_key(x)))
+    keys = profile_keys(F.col("name"), F.col("aliases"))
     return p.select("name", "aliases", *(either(c).alias(c) for c in ("trademark", "filters", "model_prefixes", "exclude_model_prefixes")), keys.alias("keys"))
 
 
-def upsert_profiles(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Profiles of ``new`` replace those they share a key with; the rest are added."""
-    n = new.select(F.explode("keys").alias("k"))
-    hit = old.select("name", F.explode("keys").alias("k")).join(n, "k").select("name").distinct()
-    return old.join(hit, "name", "left_anti").unionByName(new, allowMissingColumns=True)
+def upsert_profiles(old: DataFrame, new: DataFrame, overwrite: bool = True) -> DataFrame:
+    """Profiles after an update: a new one takes the place of the first that shares a key with it, or is added.
+
+    old (ordinal and the profile's columns), new (the profile's columns). Without overwrite
+    known ones stay. Of new profiles with one place the first by name gets it.
+    """
+    acted = profile_actions(old, new, overwrite)
+    place = F.struct("target", F.when(F.col("target").isNull(), F.col("name")))
+    placed = acted.withColumn("__n", F.row_number().over(Window.partitionBy(place).orderBy("name")))
+    put = placed.where("action <> 'skipped' and (target is null or __n = 1)").withColumnRenamed("target", "ordinal").drop("action", "__n")
+    replaced = put.where("ordinal is not null").select("ordinal")
+    return old.join(replaced, "ordinal", "left_anti").unionByName(put, allowMissingColumns=True)
 
 
 def model_list(spark: SparkSession, path: str) -> DataFrame:

@@ -83,3 +83,12 @@ def test_sinks(spark, tmp_path):
     tables.replace_articles(df.withColumnRenamed("id", "art_id"), str(tmp_path / "t"))
     tables.replace_articles(spark.createDataFrame([(2, "new")], "art_id int, name string"), str(tmp_path / "t"))
     assert sorted((r.art_id, r.name) for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [(1, "a<b"), (2, "new")]
+
+
+def test_upsert_profiles_replaces_the_first_that_shares_a_key(spark):
+    old = spark.createDataFrame([(0, "A", ["a", "x"]), (1, "B", ["b", "x"]), (2, "C", ["c"])], "ordinal long, name string, keys array<string>")
+    new = spark.createDataFrame([("N", ["x"]), ("M", ["m"]), ("L", ["l"])], "name string, keys array<string>")
+    after = {(r["ordinal"], r["name"]) for r in landing.upsert_profiles(old, new).collect()}
+    assert after == {(0, "N"), (1, "B"), (2, "C"), (None, "M"), (None, "L")}
+    kept = {r["name"] for r in landing.upsert_profiles(old, new, overwrite=False).collect()}
+    assert kept == {"A", "B", "C", "M", "L"}
