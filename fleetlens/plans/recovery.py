@@ -119,7 +119,7 @@ def plan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def uncovered_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = catalog(spark, sf_dir)
     found = c.select(F.concat(F.lit(" "), F.col("model_code"), F.lit(" ")).alias("product"), "id")
-    return recovery.uncovered(found, c.where("price > 1200").select(F.col("model_code").alias("product")).distinct())
+    return recovery.uncovered(found, c.where("tag = 'D'").select(F.col("model_code").alias("product")).distinct())
 
 
 def renamed_attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +144,7 @@ def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_parameter(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = catalog(spark, sf_dir)
     items = c.select("trademark", F.floor(F.col("id") / 2).alias("ordinal"), F.col("category").alias("label"), F.when(F.col("id") % 3 == 0, " ").otherwise(F.col("model_code")).alias("spec"), F.col("seq").alias("value"))
-    return recovery.first_parameter(items, "STEEL", ["trademark"])
+    return recovery.first_parameter(items, "PROMO", ["trademark"])
 
 
 def first_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,13 +218,13 @@ g AS (SELECT run, count(*) AS selected, count(status) AS processed, count(*) - c
   count(seconds) FILTER (status IS NOT NULL) AS attempts, sum(seconds) FILTER (status IS NOT NULL) AS s FROM r GROUP BY 1)
 SELECT * EXCLUDE (s), CASE WHEN attempts > 0 THEN CAST(round_even(CAST(s AS DOUBLE) / attempts * remaining, 0) AS BIGINT) END AS estimated_seconds FROM g""",
     "plan_keys": f"{C}, e AS (SELECT 'changed' AS kind, category AS key FROM catalog UNION ALL SELECT 'changed', trademark FROM catalog UNION ALL SELECT 'preserved', trademark FROM catalog WHERE tag = 'D') SELECT kind, key, count(*) AS n FROM e GROUP BY 1, 2",
-    "uncovered_products": f"{C} SELECT ' ' || model_code || ' ' AS product, id FROM catalog WHERE model_code NOT IN (SELECT model_code FROM catalog WHERE price > 1200)",
+    "uncovered_products": f"{C} SELECT ' ' || model_code || ' ' AS product, id FROM catalog WHERE model_code NOT IN (SELECT model_code FROM catalog WHERE tag = 'D')",
     "renamed_attachments": f"{C}, n AS (SELECT DISTINCT batch, seq FROM catalog WHERE id % 3 = 0) SELECT id, c.batch AS article, CASE WHEN n.batch IS NULL THEN c.seq || '.doc' ELSE '购置税目录第' || c.batch || '批.doc' END AS attachment FROM catalog c LEFT JOIN n ON n.batch = c.batch AND n.seq = c.seq",
     "attachment_names": f"""{C}, a AS (SELECT id, batch, {_sql_pick(CATALOGUES, 'id')} AS k, id // 5 % 3 AS t FROM catalog)
 SELECT id, CASE WHEN id % 2 = 1 OR k IN ('', '目录') THEN '' WHEN k = '推荐车型目录' THEN '推荐目录第' || batch || '批' ELSE k || '第' || batch || '批' END AS stem,
   CASE WHEN k IN ('', '目录') AND t = 0 THEN '公告第404批附件' WHEN k = '推荐车型目录' AND t = 1 THEN '推荐目录2022年第5批' ELSE '' END AS by_title, CASE WHEN t = 0 THEN id || '_公告第404批' ELSE CAST(id AS VARCHAR) END AS folder FROM a""",
     "category_counts": f"{C} SELECT trademark AS category, count(*) AS n FROM catalog WHERE id % 6 <> 0 AND id % 5 <> 0 GROUP BY 1",
-    "first_parameter": f"{C}, h AS (SELECT *, id // 2 AS o, min(id // 2) OVER (PARTITION BY trademark) AS f FROM catalog WHERE contains(category, 'STEEL')) SELECT trademark, model_code AS spec, seq AS value FROM h WHERE o = f AND id % 3 <> 0",
+    "first_parameter": f"{C}, h AS (SELECT *, id // 2 AS o, min(id // 2) OVER (PARTITION BY trademark) AS f FROM catalog WHERE contains(category, 'PROMO')) SELECT trademark, model_code AS spec, seq AS value FROM h WHERE o = f AND id % 3 <> 0",
     "first_series": f"{C} SELECT model_code, arg_min(seq, id) FILTER (id % 3 = 0) AS series, arg_min(common_name, id) FILTER (id % 3 = 0) AS name, CASE WHEN count(*) FILTER (id % 3 = 0) = 0 THEN 'brand_only' ELSE 'found' END AS verdict FROM catalog GROUP BY 1",
     "cache_files": f"{C} SELECT id AS batch, id || CASE WHEN id % 7 = 0 THEN '.absent.json' WHEN id % 3 > 0 THEN '.partial.json' ELSE '.json' END AS file FROM catalog",
     "retried_images": f"{C} SELECT id AS product FROM catalog WHERE id % 5 = 1 OR (id % 5 IN (3, 4) AND id % 4 > 0)",
