@@ -60,6 +60,7 @@ CONTRACTS = {
     "op7_embedding_near_dedup": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
     "op8_best_fit_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
     "op10_minhash_near_dedup": "doc_id bigint, class_id bigint",
+    "op11_document_fingerprint": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
 }
 
 
@@ -73,9 +74,19 @@ def awkward(spark, tmp_path_factory):
     spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "'en' AS lang", "cast(length(text) AS long) AS n_chars", extra.split(", ")[0], *extra.split(", ")[1:]).coalesce(1).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(1, 1, 0), (2, 0, 0), (4, 1, None), (5, None, 1), (None, 1, 0), (7, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(1, [1.0, 2.0], 1), (2, [2.0, 4.0], 1), (3, None, 1), (4, [0.0], 1), (5, [3.0], 1)], "vec_id long, embedding array<float>, id int").write.parquet(f"{folder}/embeddings.parquet")
+    spark.createDataFrame([(1, "a b"), (None, None), (2, "zzz")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return folder
 
 
+def test_audit_and_search_of_awkward_tables(spark, awkward):
+    audit = llm.QUERIES["op12_filter_audit"](spark, awkward)
+    assert dict(audit.dtypes) == {"part": "string", "filter_order": "string", "step": "int"} | dict.fromkeys(("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"), "bigint")
+    assert audit.where("filter_order = 'EDCBA' AND step = 1").selectExpr("sum(kept + removed)").first()[0] == 9
+    found = llm.QUERIES["op13_lexical_search"](spark, awkward)
+    assert dict(found.dtypes) == {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"}
+    assert [r.doc_id for r in found.orderBy("rank").collect()] == [1, 1]
+
+
 @pytest.mark.parametrize("name", CONTRACTS)
 def test_contracts_hold_for_awkward_tables(spark, awkward, name):
     df = llm.QUERIES[name](spark, awkward)
@@ -99,4 +110,4 @@ def test_pipeline_of_awkward_tables(spark, awkward):
 
 
 def test_queries_are_whole():
-    assert sorted(int(n[2:].split("_")[0]) for n in llm.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in llm.QUERIES) == list(range(1, 14))
