@@ -36,6 +36,8 @@ from ._spark import partitions, table
 FILTERS = "ABCDE"
 #: Bytes of texts that a task's chains hold, and rows it holds back, before it sends them on.
 HELD_BYTES, HELD_ROWS = 64 << 20, 50_000
+#: Bytes of texts of a routed partition, at most on average; a task sorts it by hash.
+ROUTED_BYTES = 128 << 20
 
 _E = 1 << FILTERS.index("E")
 _SIGNS = re.compile(rb"[#$%&*|]")
@@ -138,7 +140,9 @@ def masks(docs: DataFrame) -> DataFrame:
     part = F.coalesce(F.col("source").cast("string"), F.lit(""))
     rows = docs.select("doc_id", part.alias("part"), text.alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    routed = rows.rdd.mapPartitions(_routed).repartitionAndSortWithinPartitions(partitions(spark), lambda key: key)
+    held = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    n = max(partitions(spark), held // ROUTED_BYTES + 1)
+    routed = rows.rdd.mapPartitions(_routed).repartitionAndSortWithinPartitions(n, lambda key: key)
     return spark.createDataFrame(routed.mapPartitions(_decided), f"doc_id {kind}, part string, mask int, n bigint", verifySchema=False)
 
 
