@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, text, values
 from ..operators import compare, reconcile
+from ..session import shared_dir
 from ..sources import parsers
 from ..streaming import events as stream
 from .roles import SQL_CATALOG, catalog, table
@@ -129,8 +130,7 @@ def notice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily counts made by a stream over the landed events; equal to the batch answer."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/__streams"
-    place = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    place = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     query = stream.run_to(stream.windowed_counts(stream.read_events(spark, f"{sf_dir}/event[s].parquet")), f"{place}/out", f"{place}/checkpoint")
     query.awaitTermination()
     out = spark.read.parquet(f"{place}/out")

@@ -21,3 +21,16 @@ def build(app: str = "fleetlens", **settings: str) -> SparkSession:
 
     registry.register(spark)
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share, as the cluster names it in ``spark.checkpoint.dir``.
+
+    Only a local session without that setting uses its warehouse folder.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/__shared"
