@@ -1,7 +1,8 @@
 """Captured pages of comparison sites: search responses, configuration JSON, script variables, markdown, reviews.
 
 JSON is read by native expressions, a row of captures at a time and without a shuffle.
-Markdown has no grammar to declare, so its lines are walked in Python, batch by batch.
+Markdown is scanned in Python, batch by batch: lines become letters, and patterns over the
+letters find sections, rows and packages.
 
 Cases: null, empty and malformed captures give no rows (markdown: one row of kind
 'unparsed' with the reason, unless null); absent and null members count as ''.
@@ -10,8 +11,8 @@ Cases: null, empty and malformed captures give no rows (markdown: one row of kin
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate, chain, groupby, islice, repeat, takewhile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -293,117 +294,144 @@ def _spec(line: str) -> str | None:
 def shares(owner: list[int | None], models: int) -> list[tuple[int, int, int]]:
     """Ranges (model, start, end) of a run of cells that lists all models one after the other.
 
-    owner: the model a cell links to, if any. A model's first linked cell is where its
-    cells begin; models between two such places have equal shares of what the first of
-    them leaves, as near to an even division as its own linked cells allow. Without
-    links the cells are divided evenly.
+    owner: the model a cell links to, if any. Cells belong to the model linked last; the
+    unlinked models up to the next linked one get equal parts of the end of its cells: as
+    near to an even division as whole cells are, at least one each, and none of the cells
+    that begin with its own links. Without links the cells are divided evenly.
     """
-    starts, last = [], None
-    for at, m in enumerate(owner):
-        if m is not None and m != last:
-            starts.append((at, m))
-            last = m
-    if not starts:
+    held = list(accumulate(owner, lambda last, own: last if own is None else own))
+    runs = [(m, len(list(cells))) for m, cells in groupby(held)]
+    if not any(m is not None for m, _ in runs):
         if not models or len(owner) % models:
             raise ValueError("colours can't be divided among the models")
-        each = len(owner) // models
-        return [(m, m * each, m * each + each) for m in range(models)]
-    out = [(starts[0][1], 0, starts[0][0])] if starts[0][0] else []
-    for (at, m), (end, following) in zip(starts, [*starts[1:], (len(owner), models)]):
-        size, others = end - at, following - m - 1
-        if others < 0:
-            continue
-        linked = next((i for i in range(size) if owner[at + i] != m), size)
-        own = [size] if not others else [size - others * each for each in range(1, (size - linked) // others + 1)]
-        if not own:
-            raise ValueError("bounds between models can't be told")
-        n = min(own, key=lambda n: (abs(n - size / (others + 1)), n))
-        out.append((m, at, at + n))
-        each = (size - n) // others if others else 0
-        out += [(m + 1 + k, at + n + k * each, at + n + (k + 1) * each) for k in range(others)]
+        runs = [(m, len(owner) // models) for m in range(models)]
+    out, at = [], 0
+    if runs[:1] and runs[0][0] is None:
+        at = runs.pop(0)[1]
+        out.append((runs[0][0], 0, at))
+    for (m, size), (following, _) in zip(runs, [*runs[1:], (models, 0)]):
+        end, others = at + size, following - m - 1
+        if others > 0:
+            room = (size - sum(1 for _ in takewhile(lambda own: own == m, owner[at:end]))) // others
+            if room < 1:
+                raise ValueError("bounds between models can't be told")
+            each = min(room, max(1, (2 * size + others + 1) // (2 * (others + 1))))
+            edges = [at, *range(end - others * each, end + 1, each)]
+            out += [(m + k, lo, hi) for k, (lo, hi) in enumerate(zip(edges, edges[1:]))]
+        elif others == 0:
+            out.append((m, at, end))
+        at = end
     return out
 
 
-def markdown_capture(text: str) -> Iterator[tuple[str, str, str, int, str, str, str]]:
-    """Rows (kind, section, param, place, spec, model, value) of a page captured as markdown; ValueError if it is none."""
-    lines = text.splitlines()
-    plain = [_plain(line) for line in lines]
+#: Lines that structure a page, by their whole text; and a letter for each.
+_MARKS = {"经销商报价": "D", "基本参数": "B", "颜色": "C", "选装包": "P", "外观颜色": "O", "内饰颜色": "I"}
+
 
-    def find(test: Callable[[str], bool], start: int = 0) -> int | None:
-        return next((i for i in range(start, len(plain)) if test(plain[i])), None)
+class _Scan:
+    """Lines of a page with two strings of a letter a line: its mark, and its role as a cell.
 
-    def need(what: str, start: int = 0, *, part: bool = False) -> int:
-        at = find((lambda t: what in t) if part else (lambda t: t == what), start)
-        if at is None:
-            raise ValueError(f"no line {what}")
+    Roles: E empty, S heading of a section, + continues the cell before it. Patterns over
+    these strings cut the page.
+    """
+
+    def __init__(self, text: str):
+        self.lines = text.splitlines()
+        self.plain = [_plain(line) for line in self.lines]
+        raw = [line.replace(NBSP, " ").strip() for line in self.lines]
+        self.marks = "".join(
+            _MARKS.get(t) or ("N" if _COUNT.search(t) else "G" if "厂商指导价" in t else "F" if "关于我们" in t else ".") for t in self.plain
+        )
+        opens = [r.startswith("[") and "](" in r and "/spec/" not in r for r in [*raw[1:], ""]]
+        self.roles = "".join(
+            "E" if not t else "S" if t in SECTIONS and after else "+" if r.startswith("__") or t.startswith(("选配", "标配")) else "." for t, r, after in zip(self.plain, raw, opens)
+        )
+
+    def place(self, mark: str, start: int = 0) -> int:
+        at = self.marks.find(mark, start)
+        if at < 0:
+            raise ValueError(f"no line of kind {mark}")
         return at
 
-    count = find(lambda t: _COUNT.search(t) is not None)
-    if count is None:
-        raise ValueError("no line with the number of models")
-    linked = [(found[1], _spec(found[2])) for line in lines[count : need("厂商指导价", count, part=True)] if (found := _LINK.search(line))]
-    named, seen = [], Counter()
-    for name, spec in linked:
-        if spec:
-            name = " ".join(name.split())
-            seen[name] += 1
-            named.append((spec, name, name if seen[name] == 1 else f"{name} ({seen[name]})"))
-    if not named:
+    def filled(self, start: int, stop: int) -> list[int]:
+        return [i for i in range(start, stop) if self.plain[i]]
+
+    def shown(self, places: Iterable[int]) -> list[str]:
+        return [_shown(self.lines[i]) for i in places]
+
+
+def _models(scan: _Scan) -> list[tuple[str, str, str]]:
+    """Models of a page: spec, name, and the name numbered where it was there before."""
+    start = scan.place("N")
+    links = (_LINK.search(line) for line in scan.lines[start : scan.place("G", start)])
+    found = [(spec, " ".join(link[1].split())) for link in links if link and (spec := _spec(link[2]))]
+    if not found:
         raise ValueError("no models")
+    names = [name for _, name in found]
+    return [(spec, name, name if (n := names[:k].count(name)) == 0 else f"{name} ({n + 1})") for k, (spec, name) in enumerate(found)]
+
+
+def _prices(scan: _Scan, n: int) -> Iterator[tuple[str, str, list[str]]]:
+    guide = scan.place("G")
+    dealer = scan.place("D", guide + 1)
+    for param, lo, hi in (("厂商指导价", guide, dealer), ("经销商报价", dealer, scan.place("B", dealer))):
+        yield "", param, [*islice(chain((v for v in scan.shown(range(lo + 1, hi)) if v != "-"), repeat("-")), n)]
+
+
+def _parameters(scan: _Scan, n: int, start: int, stop: int) -> Iterator[tuple[str, str, list[str]]]:
+    """Headings of sections, and parameters with a cell for each of ``n`` models, which may reach beyond ``stop``."""
+    section = "基本参数"
+    for m in re.compile(f"E|(?P<section>S)|(?P<row>.).{{{n}}}|(?P<end>.)").finditer(scan.roles, start):
+        if m.start() >= stop or m["end"]:
+            return
+        if m["section"]:
+            section = scan.plain[m.start()]
+        elif m["row"] and not any(word in scan.plain[m.start()] for word in IGNORED):
+            yield section, scan.plain[m.start()], scan.shown(range(m.start() + 1, m.end()))
+
+
+def _colours(scan: _Scan, models: list[tuple[str, str, str]], start: int) -> Iterator[tuple[str, str, list[str]]]:
+    place = {spec: i for i, (spec, _, _) in enumerate(models)}
+    block = re.compile("[^P]*").match(scan.marks, start)
+    for m in re.compile("([OI])([^OI]*)").finditer(scan.marks, start, block.end()):
+        cells = scan.filled(*m.span(2))
+        own: list[list[str]] = [[] for _ in models]
+        for model, lo, hi in shares([place.get(_spec(scan.lines[i])) for i in cells], len(models)):
+            own[model] += [v for v in scan.shown(cells[lo:hi]) if v and v not in models[model][1:]]
+        yield "颜色", scan.plain[m.start()], ["\n".join(v) or "-" for v in own]
+
+
+def _packages(scan: _Scan, n: int, start: int) -> Iterator[tuple[str, str, list[str]]]:
+    """A title and an entry for each model; an entry takes the lines that continue it, as long as one is left for each model after."""
+    cells = scan.filled(start + 2, scan.place("F", start))
+    roles, at = "".join(scan.roles[i] for i in cells), 0
+    whole = re.compile("." + "(.\\+*)" * n)
+    while at < len(cells):
+        if m := whole.match(roles, at):
+            spans, end = [m.span(k) for k in range(1, n + 1)], m.end()
+        else:  # the page ends within the entries
+            spans, end = [(k, k + 1) for k in range(at + 1, len(cells))], len(cells)
+        entries = ["\n".join(scan.plain[i] for i in cells[lo:hi]) for lo, hi in spans]
+        yield "选装包", scan.plain[cells[at]], [*entries, *["-"] * (n - len(entries))]
+        at = end
+
 
-    def row(kind: str, section: str, param: str, place: int, value: str) -> tuple:
-        return kind, section, param, place, named[place][0], named[place][2], value
-
-    guide = need("厂商指导价", part=True)
-    dealer = need("经销商报价", guide + 1)
-    basic = need("基本参数", dealer)
-    for param, lo, hi in (("厂商指导价", guide + 1, dealer), ("经销商报价", dealer + 1, basic)):
-        prices = [v for v in map(_shown, lines[lo:hi]) if v != "-"][: len(named)]
-        yield from (row("price", "", param, i, v) for i, v in enumerate(prices + ["-"] * (len(named) - len(prices))))
-
-    colour, package = find(lambda t: t == "颜色", basic), find(lambda t: t == "选装包", basic)
-    section, at = "基本参数", basic + 1
-    end = next(x for x in (colour, package, len(lines)) if x is not None)
-    while at < end:
-        ahead = lines[at + 1].replace(NBSP, " ").strip() if at + 1 < len(lines) else ""
-        if not plain[at]:
-            at += 1
-        elif plain[at] in SECTIONS and ahead.startswith("[") and "](" in ahead and "/spec/" not in ahead:
-            section, at = plain[at], at + 1
-        else:
-            cells = lines[at + 1 : at + 1 + len(named)]
-            if len(cells) < len(named):
-                break
-            if not any(w in plain[at] for w in IGNORED):
-                yield from (row("param", section, plain[at], i, _shown(c)) for i, c in enumerate(cells))
-            at += len(named) + 1
-
-    if colour is not None:
-        block = range(colour + 1, next((i for i in range(colour, len(lines)) if plain[i] == "选装包"), len(lines)))
-        heads = [i for i in block if plain[i] in ("外观颜色", "内饰颜色")]
-        place = {spec: i for i, (spec, _, _) in enumerate(named)}
-        for head, stop in zip(heads, [*heads[1:], block.stop]):
-            cells = [i for i in range(head + 1, stop) if plain[i]]
-            own: list[list[str]] = [[] for _ in named]
-            for m, lo, hi in shares([place.get(_spec(lines[i])) for i in cells], len(named)):
-                own[m] += [v for v in (_shown(lines[i]) for i in cells[lo:hi]) if v and v not in named[m][1:]]
-            yield from (row("colour", "颜色", plain[head], m, "\n".join(v) or "-") for m, v in enumerate(own))
-
-    if package is not None:
-        cells = [i for i in range(package + 2, need("关于我们", package, part=True)) if plain[i]]
-        at = 0
-        while at < len(cells):
-            title, at = plain[cells[at]], at + 1
-            entries = []
-            for left in range(len(named) - 1, -1, -1):
-                if at >= len(cells):
-                    break
-                entry, at = [plain[cells[at]]], at + 1
-                while at < len(cells) and len(cells) - at > left and (lines[cells[at]].replace(NBSP, " ").strip().startswith("__") or plain[cells[at]].startswith(("选配", "标配"))):
-                    entry.append(plain[cells[at]])
-                    at += 1
-                entries.append("\n".join(entry))
-            yield from (row("package", "选装包", title, m, v or "-") for m, v in enumerate(entries + ["-"] * (len(named) - len(entries))))
+def markdown_capture(text: str) -> Iterator[tuple[str, str, str, int, str, str, str]]:
+    """Rows (kind, section, param, place, spec, model, value) of a page captured as markdown; ValueError if it is none."""
+    scan = _Scan(text)
+    models = _models(scan)
+    n, basic = len(models), scan.place("B", scan.place("D", scan.place("G") + 1))
+    colour, package = (scan.marks.find(mark, basic) for mark in "CP")
+    parts: list[tuple[str, Iterable[tuple[str, str, list[str]]]]] = [("price", _prices(scan, n))]
+    parts.append(("param", _parameters(scan, n, basic + 1, next((at for at in (colour, package) if at >= 0), len(scan.lines)))))
+    if colour >= 0:
+        parts.append(("colour", _colours(scan, models, colour)))
+    if package >= 0:
+        parts.append(("package", _packages(scan, n, package)))
+    for kind, rows in parts:
+        for section, param, values in rows:
+            for i, value in enumerate(values):
+                yield kind, section, param, i, models[i][0], models[i][2], value
 
 
 def markdown_params(captures: DataFrame, key: str, text: str = "text") -> DataFrame:
