@@ -5,10 +5,12 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -88,3 +90,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def named(column: str) -> Column:
+    """A column by its exact name, dots and backticks included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def passing(*used: str) -> Callable:
+    """An operator over documents that passes further columns through, whatever their names.
+
+    It is given the columns of ``used`` by name and the others as one struct, which stands
+    apart from any name that the operator uses.
+    """
+    def wrap(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @wraps(operator)
+        def passed(docs: DataFrame, *args, **options) -> DataFrame:
+            others = {c: f"c{k}" for k, c in enumerate(docs.columns) if c not in used}
+            if not others:
+                return operator(docs, *args, **options)
+            own = [F.col(c) for c in docs.columns if c in used]
+            packed = docs.select(*own, F.struct(*(named(c).alias(k) for c, k in others.items())).alias("passing_columns"))
+            out = operator(packed, *args, **options)
+            return out.select(*(F.col("passing_columns")[others[c]].alias(c) if c in others else F.col(c) for c in docs.columns))
+
+        return passed
+
+    return wrap

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import materialize, scratch, table
+from ._spark import materialize, passing, scratch, table
 from ._vec import Block, blocks, folded, gram_hash, mix, prefix_hash, range_hash, words
 from .components import components
 
@@ -348,6 +348,7 @@ def _named(docs: DataFrame, similarity_at_least: float) -> DataFrame:
     return named
 
 
+@passing("doc_id", "text")
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """One document of each class, the one with the smallest id, with its own columns."""
     kept = classes(docs, **options).where("kept").select(F.col("node").alias("__node"), F.col("doc_id").alias("__id"))

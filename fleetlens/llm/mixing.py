@@ -8,8 +8,9 @@ budget is used, the last one partly.
 
 Cases: null text has size 0; a null source is a source of its own, ordered last; an
 empty table gives no rows; rows with equal ids are separate documents, which stand by
-their texts' digests where id and size agree. Other columns pass through untouched,
-whatever their names: ``sample`` uses reserved names only, and ``mix`` refuses a table
+their texts' digests where id and size agree, and rows without an id are spread over the
+buckets by a number that is written with them. Other columns pass through untouched,
+whatever their names; ``mix`` refuses a table
 that has a column of the names it adds. Budgets are targets rounded to whole words.
 """
 
@@ -20,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._spark import materialize, table
+from ._spark import materialize, passing, table
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
@@ -34,8 +35,10 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def key_of(doc_id: Column, seed: str = SEED) -> Column:
-    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def key_of(doc_id: Column, seed: str = SEED, salt: Column | None = None) -> Column:
+    """Hash-random key of an id; rows without one are told apart by ``salt``, a number that is written with them."""
+    nameless = F.lit("") if salt is None else F.concat(F.lit("\0"), salt.cast("string"))
+    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), nameless)))
 
 
 def targets(by_source: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -61,21 +64,22 @@ def targets(by_source: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs:
 
 
 def mix(sized: DataFrame, *, doc_id: str = "doc_id", source: str = "source", size: str = "size",
-        weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+        salt: str | None = None, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """Adds source_size, target and taken (words, repeats counted) to rows with a size.
 
     ``sized`` should be cheap to read twice (see ``materialize``). Rows equal in
-    id, source and size take the same words in whichever order they stand.
+    id, source and size take the same words in whichever order they stand. ``salt`` is a
+    column of written numbers that spreads rows without an id over buckets.
     """
     if clash := sorted({"source_size", "target", "taken"} & set(sized.columns)):
         raise ValueError(f"columns {clash} would be replaced")
-    out = _taken(sized, doc_id, source, size, None, weights, max_epochs, seed)
+    out = _taken(sized, doc_id, source, size, None, salt, weights, max_epochs, seed)
     return out.withColumnsRenamed({"__source_size": "source_size", "__target": "target", "__taken": "taken"})
 
 
-def _taken(sized: DataFrame, doc_id: str, source: str, size: str, digest: str | None, weights: Sequence[int], max_epochs: int, seed: str) -> DataFrame:
+def _taken(sized: DataFrame, doc_id: str, source: str, size: str, digest: str | None, salt: str | None, weights: Sequence[int], max_epochs: int, seed: str) -> DataFrame:
     """Adds __source_size, __target and __taken; ``digest`` orders rows of one id and size."""
-    keyed = sized.withColumn("__key", key_of(F.col(doc_id), seed)).withColumn("__bucket", F.substring("__key", 1, BUCKET_DIGITS))
+    keyed = sized.withColumn("__key", key_of(F.col(doc_id), seed, F.col(salt) if salt else None)).withColumn("__bucket", F.substring("__key", 1, BUCKET_DIGITS))
     sums = keyed.groupBy(F.col(source).alias("__s"), F.col("__bucket").alias("__b")).agg(F.sum(size).alias("__sum"))
     by_source = sums.groupBy(F.col("__s").alias("source")).agg(F.sum("__sum").alias("source_size"))
     goal = targets(by_source, weights, max_epochs).withColumnsRenamed({"source": "__t", "source_size": "__source_size", "target": "__target"})
@@ -93,6 +97,7 @@ def _taken(sized: DataFrame, doc_id: str, source: str, size: str, digest: str |
     )
 
 
+@passing("doc_id", "text", "source")
 def sample(docs: DataFrame, *, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mixed corpus: a row of ``docs`` for every time it is taken.
 
@@ -100,8 +105,8 @@ def sample(docs: DataFrame, *, weights: Sequence[int] = WEIGHTS, max_epochs: int
     A source's words so differ from its target by less than one document.
     """
     digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    sized = materialize(docs.withColumn("__size", size_of(F.col("text"))).withColumn("__digest", digest), "mixing")
-    taken = _taken(sized, "doc_id", "source", "__size", "__digest", weights, max_epochs, seed)
+    sized = materialize(docs.withColumn("__size", size_of(F.col("text"))).withColumn("__digest", digest).withColumn("__salt", F.monotonically_increasing_id()), "mixing")
+    taken = _taken(sized, "doc_id", "source", "__size", "__digest", "__salt", weights, max_epochs, seed)
     copies = F.when(F.col("__size") > 0, F.expr("cast(floor((2 * __taken + __size) / (2 * __size)) as int)")).otherwise(F.lit(0))
     return taken.withColumn("__copies", copies).where("__copies > 0").withColumn(
         "__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))
@@ -110,8 +115,8 @@ def sample(docs: DataFrame, *, weights: Sequence[int] = WEIGHTS, max_epochs: int
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sized = materialize(docs.select("doc_id", "source", size_of(F.col("text")).alias("size")), "op6-sizes")
-    return mix(sized).select("doc_id", "size", "source_size", "target", "taken")
+    sized = materialize(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("salt")), "op6-sizes")
+    return mix(sized, salt="salt").select("doc_id", "size", "source_size", "target", "taken")
 
 
 SQL_MIX = r"""

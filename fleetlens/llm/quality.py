@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import table
+from ._spark import passing, table
 from ._vec import Block, blocks, doc_of, mix, prefix_hash, range_hash, words
 
 BITS = 20
@@ -190,6 +190,7 @@ def _training(docs: DataFrame, labels: DataFrame) -> dict:
     return train(docs, usable)
 
 
+@passing("doc_id", "text")
 def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score reaches the threshold, with their own columns."""
     return score(docs, _training(docs, labels), column="__quality").where(F.col("__quality") >= threshold).drop("__quality")

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import forget, materialize, partitions, scratch, table
+from ._spark import forget, materialize, partitions, passing, scratch, table
 from ._vec import Block, as_binary, blocks, mix, prefix_hash, range_hash
 from .minhash import text_key
 
@@ -482,6 +482,7 @@ def cleaned(docs: DataFrame, *, as_text: bool = False) -> DataFrame:
     return joined.select(*docs_names, "__copies", "__list").mapInArrow(run, schema)
 
 
+@passing("doc_id", "text", "n_chars")
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeats in their texts; a text that loses all its words goes.
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._spark import materialize, table
+from ._spark import materialize, named, table
 
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#@]+)"
 PATH = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)"
@@ -68,7 +68,7 @@ def _as_of(points: DataFrame, valid: DataFrame) -> DataFrame:
 
 def judge(captures: DataFrame, entries: DataFrame, *, url: str = "url", fetched: str = "fetched") -> DataFrame:
     """All captures with verdict (block, allow or none) and the deciding entry (kind, key, listed)."""
-    keyed = captures.select(F.col(url).alias("url"), F.col(fetched).alias("at")).where("url is not null and at is not null").distinct()
+    keyed = captures.select(named(url).alias("url"), named(fetched).alias("at")).where("url is not null and at is not null").distinct()
     keyed = keyed.withColumn("k", F.explode(keys_of(F.col("url")))).select("url", "at", "k.kind", "k.key")
     # written, so that the join below deals its rows by key and time and can split a hot one
     active = materialize(_as_of(keyed.select("kind", "key", "at").distinct(), intervals(entries)), "url-active")
@@ -77,11 +77,16 @@ def judge(captures: DataFrame, entries: DataFrame, *, url: str = "url", fetched:
     best = valid.groupBy("url", "at").agg(
         F.max(F.struct(rank.alias("rank"), F.length("key").alias("size"), F.col("kind"), F.col("key"), F.col("verdict"), F.col("valid_from"))).alias("best")
     )
-    results = ("verdict", "rule_kind", "rule_key", "listed")
-    kept = captures.select(F.struct(*(F.col(c).alias(c) for c in captures.columns)).alias("__capture"), F.col(url).alias("__url"), F.col(fetched).alias("__at"))
+    names = {}  # a column with a result's name gets another that nothing has
+    for c in captures.columns:
+        new = c
+        while new in ("verdict", "rule_kind", "rule_key", "listed") or (new != c and new in captures.columns) or new in names.values():
+            new += "_before"
+        names[c] = new
+    kept = captures.select(F.struct(*(named(c).alias(f"c{k}") for k, c in enumerate(captures.columns))).alias("__capture"), named(url).alias("__url"), named(fetched).alias("__at"))
     joined = kept.join(best.withColumnsRenamed({"url": "__best_url", "at": "__best_at"}), (F.col("__url") == F.col("__best_url")) & (F.col("__at") == F.col("__best_at")), "left")
     return joined.select(
-        *(F.col("__capture")[c].alias(c + "_before" if c in results else c) for c in captures.columns),
+        *(F.col("__capture")[f"c{k}"].alias(names[c]) for k, c in enumerate(captures.columns)),
         F.coalesce(F.col("best.verdict"), F.lit("none")).alias("verdict"),
         F.col("best.kind").alias("rule_kind"),
         F.col("best.key").alias("rule_key"),

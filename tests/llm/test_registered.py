@@ -109,5 +109,30 @@ def test_pipeline_of_awkward_tables(spark, awkward):
     assert docs.count() > 0
 
 
+def test_stages_pass_columns_of_any_name(spark):
+    names = ["__key", "__node", "__size", "__removed", "__kept", "x.y", "a`b c", "passing", "kept", "target", "size", "node"]
+    rows = [(k, f"word{k} " * 9 + f"tail{k}", "s" if k % 2 else None, *(f"{n}{k}" for n in names)) for k in range(12)] + [(None, None, "s", *names), (None, "w " * 3, None, *names), (3, "other text", "s", *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join("`" + n.replace("`", "``") + "` string" for n in names))
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, docs, DATA)
+        assert out.columns == docs.columns
+        kept = {tuple(r) for r in out.select(*("`" + c.replace("`", "``") + "`" for c in docs.columns if c != "text")).collect()}
+        assert kept and kept <= {(r[0], *r[2:]) for r in rows}
+
+
+def test_rows_without_id_stand_in_many_buckets(spark):
+    df = spark.range(4000).selectExpr("cast(null AS bigint) AS doc_id", "'s' AS source", "id % 7 + 1 AS size", "id AS salt")
+    assert df.select(llm.mixing.key_of(df.doc_id, salt=df.salt)).distinct().count() == 4000
+    taken = llm.mixing.mix(df, salt="salt").selectExpr("sum(taken)", "first(target)").first()
+    assert taken[0] == taken[1] == 4000 // 7 * 28 + sum(range(1, 4000 % 7 + 1))
+
+
+def test_url_verdicts_beside_columns_of_their_names(spark):
+    captures = spark.createDataFrame([("http://a.b/", 1, "p", "q", "r")], "url string, fetched int, verdict string, verdict_before string, `x.y` string")
+    entries = spark.createDataFrame([("host", "a.b", "block", 0)], "kind string, key string, verdict string, listed int")
+    row = llm.urls.judge(captures, entries).first()
+    assert row.asDict() == {"url": "http://a.b/", "fetched": 1, "verdict_before_before": "p", "verdict_before": "q", "x.y": "r", "verdict": "block", "rule_kind": "host", "rule_key": "a.b", "listed": 0}
+
+
 def test_queries_are_whole():
     assert sorted(int(n[2:].split("_")[0]) for n in llm.QUERIES) == list(range(1, 14))
