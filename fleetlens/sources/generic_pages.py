@@ -204,13 +204,11 @@ def _numbers(df: DataFrame, pairs: Column, text: Column) -> DataFrame:
     sized = F.get(F.map_values(F.map_filter(pairs, lambda k, _: F.contains(k, F.lit("长")) & F.contains(k, F.lit("宽")) & F.contains(k, F.lit("高")))), 0)
     size = _first(F.coalesce(sized, F.lit("")), F.regexp_extract(text, r"长[/×xX*]\s*宽[/×xX*]\s*高[:：]?\s*([0-9.\s/×xX*]+)", 1))
     df = df.withColumn("__size", three_measures(size))
-    for k, field in enumerate(("length_mm", "width_mm", "height_mm")):
-        df = df.withColumn(field, _first(F.coalesce(F.get("__size", k), F.lit("")), F.col(field)))
-    for field in (*NUMERIC, "seats"):
-        df = df.withColumn(field, F.when(F.col(field) == "", "").otherwise(first_number(F.col(field))))
+    df = df.withColumns({f: _first(F.coalesce(F.get("__size", k), F.lit("")), F.col(f)) for k, f in enumerate(("length_mm", "width_mm", "height_mm"))})
+    df = df.withColumns({f: F.when(F.col(f) == "", "").otherwise(first_number(F.col(f))) for f in (*NUMERIC, "seats")})
     litres = F.regexp_extract("engine", r"(?i)(\d+(?:\.\d+)?)L", 1)
     intake = F.when(F.contains("engine", F.lit("涡轮")) | F.contains("engine", F.lit("T")), "涡轮增压").when(F.contains("engine", F.lit("自然吸气")), "自然吸气").otherwise("")
-    return df.withColumn("displacement", _first(F.col("displacement"), litres)).withColumn("intake_type", _first(F.col("intake_type"), intake)).drop("__size")
+    return df.withColumns({"displacement": _first(F.col("displacement"), litres), "intake_type": _first(F.col("intake_type"), intake)}).drop("__size")
 
 
 def page_summaries(pages: DataFrame, key: str, *, url: str = "url") -> DataFrame:
@@ -222,8 +220,7 @@ def page_summaries(pages: DataFrame, key: str, *, url: str = "url") -> DataFrame
         "brand": _matched(title, ("_([^_]+?)_汽车之家",)), "series_name": [*_matched(text, (r"返回\s*([^\n\r]+)",)), *_matched(title, (r"〖([^0-9]{1,30}?)(?:\d{4}款)",))],
         "model_name": [*_matched(text, (r"(\d{4}款[^\n\r]+?)(?:车型首页|参数配置|价格单)",)), norm_space(cleaned)],
     }
-    for field, otherwise in named.items():
-        found = found.withColumn(field, _first(F.col(field), *otherwise))
+    found = found.withColumns({f: _first(F.col(f), *otherwise) for f, otherwise in named.items()})
     return _numbers(found, pairs, text).select(key, url, *FIELDS)
 
 
