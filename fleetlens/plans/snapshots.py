@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import enumeration, snapshots
+from ..operators import documents, enumeration, snapshots
 from .roles import table
 
 
@@ -53,10 +53,25 @@ def sampled_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enumeration.sampled_coverage(listing, listing.where(enumeration.covered(F.col("company"), ["Motor", "House 1"])), sample)
 
 
+def verified_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as stored files; every seventh is no PDF, every eleventh has other bytes than its row says, every thirteenth is missing."""
+    d, i = table(spark, sf_dir, "documents"), F.col("doc_id")
+    body = F.concat(F.when(i % 7 == 0, "HTML-").otherwise("%PDF-"), F.coalesce("text", F.lit("")))
+    path = F.concat(F.lit("d/"), i, F.lit(".pdf"))
+    files = d.where("doc_id % 13 <> 0").select(path.alias("path"), F.octet_length(body).cast("bigint").alias("length"), body.cast("binary").alias("content"))
+    rows = d.select(
+        i.alias("product"), path.alias("path"), F.lit(1).alias("is_pdf"), F.octet_length(body).alias("bytes"), F.sha2(F.when(i % 11 == 0, "x").otherwise(body), 256).alias("sha256"), F.lit("").alias("error"),
+        F.when(i % 3 == 0, "").when(i % 3 == 1, '{"a": 1}').otherwise("{").alias("fields_json"), F.when(i % 5 == 0, "p").alias("parse_error"),
+    )
+    return documents.verified(rows, files).select("product", "outcome", "message")
+
+
 SQL_LISTING = """listing AS (SELECT p_partkey AS product, CASE WHEN p_partkey % 5 = 0 THEN 'Lone ' || p_partkey ELSE CASE WHEN p_brand = 'Brand#11' THEN 'Motor ' ELSE 'House ' END || split_part(p_brand, '#', 2) || '-' || (p_size % 17) END AS company,
  CASE WHEN p_partkey % 5 = 0 THEN 'L' || p_partkey ELSE 'P' || (p_partkey // 3) END AS prefix FROM part)"""
 
 ORACLES = {
+    "verified_documents": f"""WITH d AS (SELECT doc_id AS product, CASE WHEN doc_id % 5 = 0 THEN 'p' WHEN doc_id % 3 = 0 THEN '{documents.NO_FIELDS}' WHEN doc_id % 3 = 2 THEN '{documents.BAD_FIELDS}' ELSE '' END AS why FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 11 <> 0 AND doc_id % 13 <> 0)
+ SELECT product, CASE WHEN why = '' THEN 'skipped_existing' ELSE 'parse_failed' END AS outcome, CASE WHEN why = '' THEN '' ELSE '{documents.NOT_PARSED}' || why END AS message FROM d""",
     "snapshot_violations": """WITH p AS (SELECT p_partkey AS id, 'P' || CASE WHEN p_partkey % 50 = 9 THEN p_partkey - 1 ELSE p_partkey END AS pid, CASE WHEN p_partkey % 50 = 6 THEN 'XYZ' ELSE substr(md5(CAST(p_partkey AS VARCHAR)), 1, 12) END AS public,
   CASE WHEN p_partkey % 50 = 7 THEN 'gone' WHEN p_partkey % 10 = 0 THEN 'pending_source' ELSE 'published' END AS availability, CASE WHEN p_partkey % 50 = 2 THEN '../' ELSE 'docs/' END || p_partkey || '.pdf' AS path,
   CASE WHEN p_partkey % 50 = 4 THEN 'HTML-' ELSE '%PDF-' END || p_name AS want, p_name FROM part), d AS (SELECT *, CASE WHEN id % 50 = 1 THEN '%PDF-changed' ELSE want END AS got FROM p),
