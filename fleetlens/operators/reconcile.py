@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import norm_model
+from ..functions.text import norm_model, safe_part, safe_relative
 
 
 def best_outcomes(runs: DataFrame, key: str = "key", status: str = "status", run: str = "run_id") -> DataFrame:
@@ -195,6 +195,31 @@ def attempt_evidence(rows: DataFrame, text: str = "error") -> DataFrame:
     return out.where("size(split(__f, '_')) >= 4 and __b = batch and product <> ''").drop("__f", "__b")
 
 
+#: Fixed value: how a stored answer names its file.
+STORED_ANSWER = r"(?:^|; )接口返回非 PDF，已存为 HTML；原文件：([^;\r\n]+?\.html)(?=; |$)"
+#: The first batch that is kept in folders of its own.
+FIRST_BATCH = 173
+
+
+def stored_answers(attempts: DataFrame) -> DataFrame:
+    """Answers other than PDF that completed runs have stored for products: one row each, the last run's.
+
+    attempts (run_id, completed_at, status, model, error). A text may name several files
+    '第{batch}批/{prefix}_{model}_{batch}_{product}.html', below other folders or not. It
+    counts if the run is completed and the model's outcome is partial, the path stays below
+    its root, both batches agree and are kept in folders, and the prefix ends in the
+    model's own name as files have it, underscores included.
+    """
+    done = attempts.where("coalesce(completed_at, '') <> '' AND status = 'partial'").withColumn("model", F.trim("model")).where("model <> ''")
+    named = done.withColumn("path", F.explode(F.regexp_extract_all("error", F.lit(STORED_ANSWER), 1))).withColumn("path", F.replace("path", F.lit("\\"), F.lit("/")))
+    part = lambda k: F.regexp_extract("path", r"(?:^|/)第(\d+)批/(?:([^/]*)_)([0-9]+)_([^_/]+)\.html$", k)
+    cut = named.where(safe_relative(F.col("path"))).select("*", *(part(k).alias(a) for k, a in enumerate(("folder", "prefix", "number", "product"), 1)))
+    batch = F.expr("try_cast(number AS bigint)")
+    agreed = cut.where((F.col("product") != "") & (F.col("folder") == batch.cast("string")) & (batch >= FIRST_BATCH) & F.endswith("prefix", F.concat(F.lit("_"), safe_part(F.col("model")))))
+    found = agreed.select("product", batch.alias("batch"), F.upper("model").alias("key"), F.struct("run_id", F.col("completed_at").alias("checked_at"), "model", "path").alias("last"))
+    return found.groupBy("product", "batch", "key").agg(F.max("last").alias("last")).select("product", "batch", "key", "last.*")
+
+
 def failure_runs(log: DataFrame, order: list[str], group: list[str], failed: Column) -> DataFrame:
     """Runs of consecutive failures (gaps and islands): group, first place, length."""
     base = Window.partitionBy(*group).orderBy(*order)

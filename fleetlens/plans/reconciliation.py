@@ -179,6 +179,16 @@ def non_pdf_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.latest_per_key(attempts, ["product", "batch", "model"], [F.col("run_id").desc()]).select("product", "batch", "model", "run_id")
 
 
+def stored_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models with an underscore and a slash; runs that are not completed, outcomes that are not partial, paths and batches that don't fit."""
+    c, k = catalog(spark, sf_dir), F.col("id")
+    model = F.concat(F.lit("A_"), F.replace("model_code", F.lit("-"), F.lit("/")))
+    file = F.concat(F.when(k % 11 == 0, "../").otherwise("downloads/"), F.lit("第"), F.col("batch"), F.lit("批/国_"), F.replace(model, F.lit("/"), F.lit("_")), F.lit("_"), F.when(k % 7 == 0, "172").otherwise(F.col("batch")), F.lit("_p"), k % 400, F.lit(".html"))
+    error = F.concat_ws("; ", F.when(k % 3 == 0, "查询失败"), F.concat(F.lit("接口返回非 PDF，已存为 HTML；原文件："), file))
+    rows = c.select(k.alias("run_id"), F.when(k % 5 == 0, "").otherwise("2024-01-01").alias("completed_at"), F.when(k % 13 == 0, "done").otherwise("partial").alias("status"), model.alias("model"), error.alias("error"))
+    return reconcile.stored_answers(rows).select("product", "batch", "key", "run_id", "model")
+
+
 def refresh_unavailable(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = catalog(spark, sf_dir)
     refresh = c.select(F.col("id").alias("product"), "batch", F.lower("model_code").alias("model"))
@@ -293,6 +303,8 @@ SELECT doc_id, CASE WHEN is_pdf IS NULL THEN 'no_document' WHEN failed OR (is_pd
     "missing_batches": f"WITH b AS (SELECT DISTINCT CAST(n_chars % 700 AS BIGINT) AS batch FROM documents) SELECT s AS batch FROM (SELECT unnest(range((SELECT min(batch) FROM b), (SELECT max(batch) + 1 FROM b))) AS s) WHERE s NOT IN (SELECT batch FROM b)",
     "sound_batches": "WITH o AS (SELECT o_custkey % 400 AS batch, CASE WHEN o_orderkey % 997 = 0 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS product, CASE WHEN o_orderkey % 499 = 0 THEN -1 ELSE o_custkey % 400 END AS rb FROM orders) SELECT batch, product FROM o WHERE batch NOT IN (SELECT batch FROM o WHERE product IS NULL OR rb <> batch)",
     "non_pdf_attempts": f"{C} SELECT CAST(id AS VARCHAR) AS product, batch, upper(model_code) AS model, id AS run_id FROM catalog WHERE id % 5 <> 0 AND (id % 6 <> 0 OR batch = '1')",
+    "stored_answers": f"""{C}, a AS (SELECT 'p' || (id % 400) AS product, CAST(batch AS BIGINT) AS batch, upper('A_' || replace(model_code, '-', '/')) AS key, id AS run_id, 'A_' || replace(model_code, '-', '/') AS model FROM catalog
+  WHERE id % 5 <> 0 AND id % 13 <> 0 AND id % 11 <> 0 AND (id % 7 <> 0 OR batch = '172')) SELECT product, batch, key, max(run_id) AS run_id, arg_max(model, run_id) AS model FROM a GROUP BY product, batch, key""",
     "refresh_unavailable": f"{C} SELECT id AS product, batch, model_code AS model, CASE WHEN id % 2 <> 0 THEN 'refresh_source_unavailable' ELSE 'refresh' END AS list FROM catalog",
     "download_slots_10min": "SELECT substr(strftime(ts, '%Y-%m-%dT%H:%M:%S'), 1, 15) AS slot, count(*) AS n FROM events GROUP BY 1",
     "batch_expression": "SELECT p_partkey, array_to_string(list_sort(list_distinct(list_concat([173], range(300 + p_partkey % 50, 300 + p_partkey % 50 + p_size % 5 + 1), [302 + p_partkey % 50]))), ',') AS batches FROM part",

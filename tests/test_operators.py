@@ -115,3 +115,16 @@ def test_names_without_characters_take_the_first(spark):
     wanted = spark.createDataFrame([(" ",), ("秦PLUS",), ("汉 77",), ("唐",)], "name string")
     sales = spark.createDataFrame([(1, "宋77"), (2, "秦"), (3, "汉177")], "ordinal int, series string")
     assert rows(match.match_series(wanted, sales)) == [(" ", 2, "宋77"), ("汉 77", 3, "宋77"), ("秦PLUS", 2, "秦")]
+
+
+def test_stored_answers_with_odd_names(spark):
+    say = "接口返回非 PDF，已存为 HTML；原文件："
+    good = f"{say}x/第409批/国_B_1_C_409_p1.html"
+    log = [
+        (1, "t", "partial", "B_1/C", good), (2, "t", "partial", " b_1/c ", f"超时; {say}第409批/国_b_1_c_409_p1.html; {say}第410批\\国_b_1_c_410_p2.html"), (3, "", "partial", "B_1/C", good), (4, "t", "done", "B_1/C", good), (5, "t", "partial", "1/C", good),
+        (6, "t", "partial", "B_1/C", f"{say}../第409批/国_B_1_C_409_p3.html"), (7, "t", "partial", "B_1/C", f"{say}第172批/国_B_1_C_172_p4.html"), (8, "t", "partial", "B_1/C", f"{say}第409批/国_B_1_C_408_p5.html"), (9, "t", "partial", None, good), (10, "t", "partial", "B_1/C", None),
+        (11, "t", "partial", "B_1/C", f"前{say}第409批/国_B_1_C_409_p6.html"), (12, "t", "partial", "B_1/C", f"{say}第409批/B_1_C_409_p7.html"),
+    ]
+    df = spark.createDataFrame(log, "run_id int, completed_at string, status string, model string, error string")
+    got = sorted((r["product"], r.batch, r.key, r.run_id) for r in reconcile.stored_answers(df).collect())
+    assert got == [("p1", 409, "1/C", 5), ("p1", 409, "B_1/C", 2), ("p2", 410, "B_1/C", 2)]
