@@ -22,6 +22,21 @@ def test_catalog_html():
     assert list(parsers.catalog_html(None)) == [] and list(parsers.catalog_html("<p>x")) == []
 
 
+def test_a_value_that_equals_the_next_number_begins_no_row():
+    names = ["seq", "company", "trademark", "model_code", "common_name", "range_km", "battery_mass"]
+
+    def read(*cells):
+        return [dict(zip(names, r)) for r in parsers.split_rows(names, list(cells))]
+
+    whole = ["1", "甲公司", "牌", "AB1", "名", "2", "2", "2", "牌", "AB2", "名", "70", "3"]
+    assert [(r["seq"], r["model_code"], r["range_km"], r["battery_mass"]) for r in read(*whole)] == [("1", "AB1", "2", "2"), ("2", "AB2", "70", "3")]
+    # the last row ends with the number that would be next
+    assert [(r["model_code"], r["range_km"]) for r in read("1", "甲公司", "牌", "AB1", "名", "2")] == [("AB1", "2")]
+    # a number does begin a row where values or leading columns were left out
+    for rest in (["2", "乙公司", "牌", "AB2"], ["2", "AB2", "名"], ["2", "牌", "AB2", "名", "7"]):
+        assert [(r["seq"], "AB2" in r.values()) for r in read("1", "甲公司", "牌", "AB1", "名", *rest)] == [("1", False), ("2", True)]
+
+
 def test_catalog_docx():
     w = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
     cell = lambda t, m="": f"<w:tc><w:tcPr>{m}</w:tcPr><w:p><w:r><w:t>{t}</w:t></w:r></w:p></w:tc>"
