@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import once
+
 from .text import norm_space
 
 # Words of captured groups that are no parameters, and of parameters left out.
@@ -92,23 +94,27 @@ def removed_batches(c: Column) -> Column:
     return F.when(sound, F.transform(parts, lambda x: x.try_cast("bigint"))).otherwise(F.raise_error(F.concat(F.lit("not distinct positive batches: "), _text(c))))
 
 
+#: From where the last piece ended up to a brace outside of strings; an open string ends it all.
+_TO_BRACE = r'(?s)\G[^"{}]*+(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"[^"{}]*+)*+[{}]'
+
+
 def script_json(c: Column, name: str) -> Column:
     """JSON object assigned to a script variable, up to the brace that closes it; '' if none does.
 
-    A fold over the characters behind the assignment counts braces outside of strings.
+    A fold over the braces outside of strings counts them; a piece is a brace and all since the one before.
     """
-    rest = F.regexp_extract(_text(c), rf"(?s)(?:^|[^A-Za-z0-9_$]){name}\s*=\s*(\{{.*)", 1)
-    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("quoted"), F.lit(False).alias("escaped"), F.lit(0).alias("n"), F.lit(False).alias("done"))
+    # the name first: a search for letters is quick, for a class before them slow
+    assigned = F.regexp_extract(_text(c), rf"(?s){name}(?<![A-Za-z0-9_$]{name})\s*=\s*(\{{.*)", 1)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("done"))
 
     def step(a: Column, x: Column) -> Column:
-        quote = (x == '"') & ~a["escaped"]
-        quoted = F.when(quote, ~a["quoted"]).otherwise(a["quoted"])
-        depth = a["depth"] + F.when(a["quoted"] | quote, 0).when(x == "{", 1).when(x == "}", -1).otherwise(0)
-        moved = F.struct(depth.alias("depth"), quoted.alias("quoted"), (a["quoted"] & (x == "\\") & ~a["escaped"]).alias("escaped"), (a["n"] + 1).alias("n"), (depth == 0).alias("done"))
-        return F.when(a["done"], a).otherwise(moved)
-
-    end = F.aggregate(F.filter(F.split(rest, ""), lambda x: x != ""), start, step)
-    return F.when(end["done"], F.substring(rest, F.lit(1), end["n"])).otherwise("")
+        depth = a["depth"] + F.when(F.endswith(x, F.lit("{")), 1).otherwise(-1)
+        return F.when(a["done"], a).otherwise(F.struct(depth.alias("depth"), (a["n"] + F.length(x)).alias("n"), (depth == 0).alias("done")))
+
+    def cut(rest: Column) -> Column:
+        return F.aggregate(F.regexp_extract_all(rest, F.lit(_TO_BRACE), 0), start, step, lambda end: F.when(end["done"], F.substring(rest, F.lit(1), end["n"])).otherwise(""))
+
+    return once(assigned, cut)
 
 
 def attachment_stem(catalogue: Column, batch: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,15 @@ from pyspark.sql import functions as F
 SPACES = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it.
+
+    Inside lambdas Spark shares no subexpressions: a column used twice is computed twice,
+    and nested uses multiply.
+    """
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def blank_to_null(c: Column) -> Column:
     """'' counts as absent."""
     return F.nullif(c, F.lit(""))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import captures, parameter_pages
-from .roles import SQL_CATALOG, catalog
+from .roles import SQL_CATALOG, catalog, dealt_catalog
 
 SHOWN = ("common_name", "trademark", "category", "range_km", "seq", "batch")
 
@@ -31,7 +31,7 @@ TERMS = '{"qp_result":{"term":[{"id":"5","entityName":" "},{"id":"<id>","entityN
 def search_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates of search responses; their three levels and broken ones take turns."""
     k = F.col("id") % 4
-    c = catalog(spark, sf_dir).withColumn("payload", F.when(k == 0, _filled(SUBJECTS, **_columns())).when(k == 1, _filled(INTENTS, **_columns())).when(k == 2, _filled(TERMS, **_columns())).otherwise('{"simple'))
+    c = dealt_catalog(spark, sf_dir).withColumn("payload", F.when(k == 0, _filled(SUBJECTS, **_columns())).when(k == 1, _filled(INTENTS, **_columns())).when(k == 2, _filled(TERMS, **_columns())).otherwise('{"simple'))
     found = captures.search_candidates(c.select("id", "common_name", "payload"), "common_name")
     return found.select("id", F.col("rank").cast("bigint").alias("rank"), "series_id", "title", F.col("score").cast("bigint").alias("score"), "brand")
 
@@ -43,12 +43,12 @@ API = """{"result":{"bread":{"seriesname":"<trademark>"},"titlelist":[{"itemtype
 
 
 def api_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = catalog(spark, sf_dir).select("id", _filled(API, **_columns()).alias("payload"))
+    c = dealt_catalog(spark, sf_dir).select("id", _filled(API, **_columns()).alias("payload"))
     return captures.api_params(c).drop("payload")
 
 
 def api_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = catalog(spark, sf_dir).select("id", _filled(API, **_columns()).alias("payload"))
+    c = dealt_catalog(spark, sf_dir).select("id", _filled(API, **_columns()).alias("payload"))
     return captures.api_models(c).drop("payload")
 
 
@@ -59,7 +59,7 @@ var color = {"result":{"specitems":[{"specid":999999999,"coloritems":[{"name":"
 
 
 def page_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = catalog(spark, sf_dir).select("id", F.when(F.col("id") % 10 == 9, "<html>").otherwise(_filled(PAGE, **_columns())).alias("html"))
+    c = dealt_catalog(spark, sf_dir).select("id", F.when(F.col("id") % 10 == 9, "<html>").otherwise(_filled(PAGE, **_columns())).alias("html"))
     return captures.page_params(c).drop("html")
 
 
@@ -68,7 +68,7 @@ BLOCKS = '[{"auto":{"list":[{"category1Name":" 空间 ","reviewContent":"<seq>%
 
 def structured_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     turn = F.when(F.col("id") % 3 == 0, F.concat(F.lit("但有用户反馈"), F.col("trademark")))
-    c = catalog(spark, sf_dir).select("id", F.when(F.col("id") % 8 == 7, "[]").otherwise(_filled(BLOCKS, turn=turn, **_columns())).alias("structuredlist"))
+    c = dealt_catalog(spark, sf_dir).select("id", F.when(F.col("id") % 8 == 7, "[]").otherwise(_filled(BLOCKS, turn=turn, **_columns())).alias("structuredlist"))
     return captures.structured_reviews(c)
 
 
@@ -111,7 +111,7 @@ __<trademark>__
 
 
 def markdown_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = catalog(spark, sf_dir).select("id", F.when(F.col("id") % 9 == 8, "共 2 款车型").otherwise(_filled(MARKDOWN, **_columns())).alias("text"))
+    c = dealt_catalog(spark, sf_dir).select("id", F.when(F.col("id") % 9 == 8, "共 2 款车型").otherwise(_filled(MARKDOWN, **_columns())).alias("text"))
     return captures.markdown_params(c, "id").withColumn("value", F.when(F.col("kind") == "unparsed", "").otherwise(F.col("value")))
 
 
@@ -121,7 +121,7 @@ def _words(*words: tuple[Column | str, float, float]) -> Column:
 
 def parameter_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of pages in both layouts; every third is a converted vehicle's, every twelfth of these lacks a heading."""
-    c, k = catalog(spark, sf_dir), F.col("id")
+    c, k = dealt_catalog(spark, sf_dir), F.col("id")
 
     def text(t: str) -> Column:
         return _filled(t, model_code=F.replace("model_code", F.lit("#"), F.lit("")), **_columns())
@@ -142,7 +142,7 @@ def catalogue_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def review_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, k = catalog(spark, sf_dir), F.col("id")
+    c, k = dealt_catalog(spark, sf_dir), F.col("id")
     fields = F.map_from_arrays(F.array(*map(F.lit, ("model_code", "batch", "range_km", "common_name"))), F.array("model_code", "batch", "range_km", F.when(k % 5 == 0, "N/A").otherwise("")))
     return parameter_pages.review_form(c.select("trademark", k.alias("product"), fields.alias("fields")), ["trademark"], "product")
 

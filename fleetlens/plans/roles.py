@@ -50,6 +50,15 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dealt_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue dealt over all cores, for work that is long per row.
+
+    part is a small file, which a scan reads as one task or a few; adaptive execution leaves
+    a number of partitions that is asked for.
+    """
+    return catalog(spark, sf_dir).repartition(4 * spark.sparkContext.defaultParallelism, "id")
+
+
 SQL_CATALOG = f"""catalog AS (SELECT p_partkey AS id, upper(substr(p_type, 1, 2)) || split_part(p_brand, '#', 2) || '-' || p_size AS model_code,
   CAST(173 + (p_partkey * 7) % 240 AS VARCHAR) AS batch, CAST((p_partkey * 13) % 500 AS VARCHAR) AS seq, p_brand AS trademark, p_name AS common_name, p_type AS category,
   {_sql_pick(NAMES, 'p_partkey')} AS product_name, {_sql_pick(FUELS, 'p_partkey // 3')} AS fuel, {_sql_pick(CATALOG_ENERGY, 'p_partkey // 5')} AS energy_type,

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.details import IGNORED, NOISE, is_ignored_parameter, is_noise_group, is_series, script_json, search_score
-from ..functions.text import leading_percent, norm_space, split_review, strip_tags
+from ..functions.text import leading_percent, norm_space, once, split_review, strip_tags
 from ..operators.compare import TURNS
 
 _RULED = "class_name:string,ruleType:int"
@@ -55,7 +55,7 @@ SECTIONS = (
 def cell_value(c: Column) -> Column:
     """Cell without price inquiries; '-' where it says nothing."""
     t = F.trim(F.replace(F.regexp_replace(norm_space(c), "起?询底价", ""), F.lit("获取底价"), F.lit("")))
-    return F.when(t.isin(*NO_VALUE), "-").otherwise(t)
+    return once(t, lambda t: F.when(t.isin(*NO_VALUE), "-").otherwise(t))
 
 
 def _blank(c: Column) -> Column:
@@ -71,7 +71,7 @@ def _each(items: Column, f: Callable) -> Column:
 
 
 def _dashed(c: Column) -> Column:
-    return F.when(F.coalesce(c, F.lit("")) == "", "-").otherwise(c)
+    return once(c, lambda c: F.when(F.coalesce(c, F.lit("")) == "", "-").otherwise(c))
 
 
 def search_hits(responses: DataFrame, payload: str = "payload") -> DataFrame:
@@ -110,23 +110,28 @@ def search_candidates(responses: DataFrame, wanted: str, payload: str = "payload
 
 def _coloured(items: Column) -> Column:
     def shown(c: Column) -> Column:
-        name = cell_value(strip_tags(c["name"]))
-        priced = F.concat(name, F.lit("(+"), c["price"].cast("bigint"), F.lit(")"))
-        return F.when(name == "-", "").when(c["price"] > 0, priced).otherwise(name)
+        def priced(name: Column) -> Column:
+            return F.when(name == "-", "").when(c["price"] > 0, F.concat(name, F.lit("(+"), c["price"].cast("bigint"), F.lit(")"))).otherwise(name)
+
+        return once(cell_value(strip_tags(c["name"])), priced)
 
     return _dashed(_joined(_each(items, shown), "\n"))
 
 
 def _api_value(item: Column) -> Column:
     def part(s: Column) -> Column:
-        name, value, price = (cell_value(s[c]) for c in ("name", "value", "priceinfo"))
-        head = F.when(name == "-", "").otherwise(name)
-        kept = F.when(value.isin("-", "●"), head).when(head == "", value).otherwise(F.concat(head, F.lit(":"), value))
-        return F.when(price.isin("-", "None"), kept).when(kept == "", price).otherwise(F.concat(kept, F.lit("("), price, F.lit(")")))
+        def shown(c: Column) -> Column:
+            head = F.when(c["name"] == "-", "").otherwise(c["name"])
+            kept = F.when(c["value"].isin("-", "●"), head).when(head == "", c["value"]).otherwise(F.concat(head, F.lit(":"), c["value"]))
+            return once(kept, lambda kept: F.when(c["price"].isin("-", "None"), kept).when(kept == "", c["price"]).otherwise(F.concat(kept, F.lit("("), c["price"], F.lit(")"))))
+
+        return once(F.struct(*(cell_value(s[c]).alias(n) for c, n in (("name", "name"), ("value", "value"), ("priceinfo", "price")))), shown)
+
+    def whole(c: Column) -> Column:
+        return F.when(c["details"] == "", c["name"]).when(c["name"] == "-", c["details"]).otherwise(F.concat(c["name"], F.lit("\n"), c["details"]))
 
-    name = cell_value(item["itemname"])
     details = F.coalesce(_joined(_each(item["sublist"], part), "\n"), F.lit(""))
-    return F.when(details == "", name).when(name == "-", details).otherwise(F.concat(name, F.lit("\n"), details))
+    return once(F.struct(cell_value(item["itemname"]).alias("name"), details.alias("details")), whole)
 
 
 def api_models(payloads: DataFrame, payload: str = "payload") -> DataFrame:
@@ -155,7 +160,7 @@ def api_params(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     item = F.try_element_at(F.filter(F.col("__s.paramconflist"), lambda x: x["titleid"] == F.col("__t.id")), F.lit(-1))
     colour = F.col("__t.section") == "颜色"
     out = grid.where((_blank(F.col("__s.specid")) != "") & (norm_space(F.col("__s.specname")) != "") & (colour | ~F.col("__t.id").isin(*API_HEAD)))
-    value = F.when(colour, _dashed(_coloured(item["colorinfo"]["list"]))).otherwise(_dashed(_api_value(item)))
+    value = once(item, lambda item: F.when(colour, _dashed(_coloured(item["colorinfo"]["list"]))).otherwise(_dashed(_api_value(item))))
     return out.select(*payloads.columns, F.when(colour, "colour").otherwise("param").alias("kind"), "__t.section", "__t.param", "place", _blank(F.col("__s.specid")).alias("spec"), value.alias("value"))
 
 
@@ -163,13 +168,14 @@ def _page_value(v: Column) -> Column:
     """Value with its sub-entries; those that only say 'present' show their name."""
 
     def part(s: Column) -> Column:
-        name, value = norm_space(strip_tags(s["subname"])), cell_value(strip_tags(s["subvalue"]))
-        bare = value.isin(*PRESENT)
-        return F.when(bare, name).when(name == "", value).otherwise(F.concat(name, F.lit(":"), value))
+        def shown(c: Column) -> Column:
+            return F.when(c["value"].isin(*PRESENT), c["name"]).when(c["name"] == "", c["value"]).otherwise(F.concat(c["name"], F.lit(":"), c["value"]))
+
+        return once(F.struct(norm_space(strip_tags(s["subname"])).alias("name"), cell_value(strip_tags(s["subvalue"])).alias("value")), shown)
 
-    base = cell_value(strip_tags(v["value"]))
+    base = once(cell_value(strip_tags(v["value"])), lambda base: F.when(base == "-", "").otherwise(base))
     subs = F.coalesce(_joined(_each(v["sublist"], part), " / "), F.lit(""))
-    return _dashed(_joined(F.array(F.when(base == "-", "").otherwise(base), subs), "\n"))
+    return _dashed(_joined(F.array(base, subs), "\n"))
 
 
 def _page_models(j: Column) -> Column:
@@ -193,15 +199,14 @@ def page_params(pages: DataFrame, html: str = "html") -> DataFrame:
     keep = pages.columns
     names = {"__c": ("config", CONFIG), "__o": ("option", OPTION), "__x": ("color", COLOURS), "__i": ("innerColor", COLOURS), "__b": ("bag", BAGS)}
     j = pages.select(*keep, *(F.from_json(script_json(F.col(html), v), s).alias(a) for a, (v, s) in names.items()))
-    j = j.withColumn("__m", _page_models(F.col("__c"))).where("size(__m) > 0")
+    j = j.withColumn("__m", _page_models(F.col("__c")))  # no filter on it: it would read the scripts once more
     row = "array<struct<kind:string,section:string,param:string,spec:string,value:string>>"
 
     def rows(kind: str, section: Column, param: Column, spec: Column, value: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), section.alias("section"), param.alias("param"), spec.alias("spec"), value.alias("value"))
 
     def titled(c: Column, otherwise: str) -> Column:
-        t = norm_space(strip_tags(c))
-        return F.when(t == "", otherwise).otherwise(t)
+        return once(norm_space(strip_tags(c)), lambda t: F.when(t == "", otherwise).otherwise(t))
 
     known = F.create_map(*(F.lit(x) for kv in LABELS.items() for x in kv))
 
@@ -216,14 +221,15 @@ def page_params(pages: DataFrame, html: str = "html") -> DataFrame:
 
     def of_groups(kind: str, groups: Column, member: str, otherwise: str, named: Callable) -> Column:
         def of_group(g: Column) -> Column:
-            group = titled(g["name"], otherwise)
-
-            def of_item(i: Column, n: Column) -> Column:
-                name = named(group, i, n)
-                wanted = ~is_noise_group(group) & ~is_ignored_parameter(name) & ~name.isin("车型", "厂商指导价", "经销商报价") if kind == "param" else ~is_noise_group(group) & ~is_ignored_parameter(name)
+            def of_item(group: Column, i: Column, name: Column) -> Column:
+                wanted = ~is_ignored_parameter(name) & ~name.isin("车型", "厂商指导价", "经销商报价") if kind == "param" else ~is_ignored_parameter(name)
                 return F.when(wanted, values_of(kind, group, name, i["valueitems"])).otherwise(F.array().cast(row))
 
-            return F.flatten(F.transform(F.coalesce(g[member], F.array()), of_item))
+            def of_items(group: Column) -> Column:
+                items = F.transform(F.coalesce(g[member], F.array()), lambda i, n: once(named(group, i, n), lambda name: of_item(group, i, name)))
+                return F.when(is_noise_group(group), F.array().cast(row)).otherwise(F.flatten(items))
+
+            return once(titled(g["name"], otherwise), of_items)
 
         return F.flatten(_each(groups, of_group))
 
@@ -233,14 +239,12 @@ def page_params(pages: DataFrame, html: str = "html") -> DataFrame:
         return F.transform("__m", lambda m: rows("colour", F.lit("颜色"), F.lit(category), m["spec"], F.coalesce(_coloured(own(m)["coloritems"]), F.lit("-"))))
 
     def packages(g: Column) -> Column:
-        group = titled(g["name"], "选装包")
-
-        def of_spec(b: Column) -> Column:
+        def of_spec(group: Column, b: Column) -> Column:
             spec = _blank(b["specid"])
             listed = F.transform(b["valueitems"], lambda v: rows("package", F.lit("选装包"), F.coalesce(F.nullif(norm_space(strip_tags(v["name"])), F.lit("")), group), spec, _page_value(v)))
             return F.when(F.size(b["valueitems"]) > 0, listed).otherwise(F.array(rows("package", F.lit("选装包"), group, spec, F.lit("-"))))
 
-        return F.flatten(_each(g["bagitems"], of_spec))
+        return once(titled(g["name"], "选装包"), lambda group: F.flatten(_each(g["bagitems"], lambda b: of_spec(group, b))))
 
     every = [
         of_groups("param", F.col("__c.result.paramtypeitems"), "paramitems", "未分类", label),

@@ -4,6 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from fleetlens.functions.details import script_json
+from fleetlens.plans import pages
 from fleetlens.sources import captures
 
 
@@ -142,3 +144,18 @@ def test_shares_cover_all_cells():
     assert captures.shares([0, 0, 0, None], 2) == [(0, 0, 3), (1, 3, 4)]
     with pytest.raises(ValueError):
         captures.shares([None] * 5, 2)
+
+
+def test_script_json_reads_names_strings_and_open_ends(spark):
+    texts = ['xconfig={"a":1};config = {"b":"}{\\"","c":{"d":{}}};config={}', 'config={"a":"}', '$config={};a.config={"😀":1}x', "config={{}", None, 'config={"a":"\\\\"}}']
+    c = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    got = [r[0] for r in c.orderBy("id").select(script_json(F.col("t"), "config")).collect()]
+    assert got == ['{"b":"}{\\"","c":{"d":{}}}', "", '{"😀":1}', "", "", '{"a":"\\\\"}']
+
+
+def test_pages_are_read_by_many_tasks_and_scripts_once(spark):
+    data = "/root/testdata/sf0.001"
+    for name in ("page_params", "api_params", "parameter_fields"):
+        assert pages.QUERIES[name](spark, data).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    plan = pages.QUERIES["page_params"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 5
