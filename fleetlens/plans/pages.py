@@ -15,7 +15,8 @@ def _filled(template: str, **values: Column) -> Column:
     """Template whose marks <name> are replaced by columns."""
     out = F.lit(template)
     for name, value in values.items():
-        out = F.replace(out, F.lit(f"<{name}>"), F.coalesce(value.cast("string"), F.lit("")))
+        if f"<{name}>" in template:
+            out = F.replace(out, F.lit(f"<{name}>"), F.coalesce(value.cast("string"), F.lit("")))
     return out
 
 
