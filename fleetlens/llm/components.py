@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import forget, materialize
+from ._spark import forget, materialize, shuffled
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,11 +23,11 @@ def components(links: DataFrame) -> DataFrame:
         both = current.select(F.col("lo").alias("n"), F.col("hi").alias("m")).unionByName(current.select(F.col("hi").alias("n"), F.col("lo").alias("m")))
         low = both.groupBy("n").agg(F.min("m").alias("least")).select("n", F.least("n", "least").alias("root"))
         # large star: a node's larger neighbours link to the least of it and its neighbours
-        large = current.join(low.withColumnRenamed("n", "lo"), "lo").select(F.col("root").alias("lo"), "hi").where("lo <> hi").distinct()
+        large = current.join(shuffled(low.withColumnRenamed("n", "lo")), "lo").select(F.col("root").alias("lo"), "hi").where("lo <> hi").distinct()
         large = materialize(large, "links")
         # small star: a node's smaller neighbours and itself link to the least of them
         least = large.groupBy("hi").agg(F.min("lo").alias("root"))
-        small = large.join(least, "hi")
+        small = large.join(shuffled(least), "hi")
         small = materialize(
             small.select(F.col("root").alias("lo"), F.explode(F.array("lo", "hi")).alias("hi")).where("lo <> hi").distinct(), "links"
         )

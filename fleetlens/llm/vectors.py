@@ -27,7 +27,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import materialize, partitions, scratch, table
+from ._spark import materialize, partitions, scratch, shuffled, table
 from .components import components
 
 COSINE = 0.9
@@ -144,7 +144,7 @@ def neighbours(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "emb
     with scratch():
         every, named = _neighbours(vectors, vec_id, vector, cosine, tables, probes)
     void = every.where("not sound").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    found = every.where("sound").join(named, "v").select("vec_id", "n_links", "component_id").unionByName(void)
+    found = every.where("sound").join(shuffled(named), "v").select("vec_id", "n_links", "component_id").unionByName(void)
     return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
@@ -200,7 +200,7 @@ def _neighbours(vectors: DataFrame, vec_id: str, vector: str, cosine: float, tab
     )
     placed = placed.groupBy("id", "t", "bucket").agg(F.max("own").alias("own"))  # a probe may repeat
     sizes = placed.groupBy("t", "bucket").agg(F.count("*").alias("m"), F.max("own").alias("some")).where("m > 1 and some")
-    met = placed.join(sizes.select("t", "bucket", F.expr(f"cast(ceil(m / {BLOCK_ROWS}) as int)").alias("b")), ["t", "bucket"])
+    met = placed.join(shuffled(sizes.select("t", "bucket", F.expr(f"cast(ceil(m / {BLOCK_ROWS}) as int)").alias("b"))), ["t", "bucket"])
     dealt = met.withColumn("i", F.pmod(F.xxhash64("id"), F.col("b")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("b") - 1))).select(
         "id", "own", "t", "bucket", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), (F.col("i") <= F.col("j")).alias("one"), (F.col("i") >= F.col("j")).alias("two")
     )
@@ -249,12 +249,12 @@ def _neighbours(vectors: DataFrame, vec_id: str, vector: str, cosine: float, tab
             seen = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(ids[seen]), pa.array(n[seen].astype(np.int64)), pa.array(ids[root[seen]])], ["id", "n", "root"])
 
-    full = dealt.join(coded.select("id", "copies", "x", "codes"), "id")
+    full = dealt.join(shuffled(coded.select("id", "copies", "x", "codes")), "id")
     full = full.repartition(tasks, "task").sortWithinPartitions("t", "bucket", "i", "j").drop("task")
     got = materialize(full.mapInArrow(link, "id long, n long, root long"), "vector-links")
     counts = got.groupBy("id").agg(F.sum("n").alias("n"))
     parts = components(got.select(F.col("id").alias("a"), F.col("root").alias("b"))).select(F.col("node").alias("id"), F.col("component"))
-    named = nodes.join(counts, "id", "left").join(parts, "id", "left").select(
+    named = nodes.join(shuffled(counts), "id", "left").join(shuffled(parts), "id", "left").select(
         "v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id")
     )
     return every, materialize(named, "vector-names", lasting=True)

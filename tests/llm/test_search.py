@@ -236,3 +236,17 @@ def test_digest_is_plain(spark):
     from pyspark.sql import functions as F
 
     assert [bytes(r[0]) for r in df.select(minhash.text_key(F.col("t"))).collect()] == [hashlib.md5(b).digest() for b in ("é".encode(), b"")]
+
+
+def test_vectors_broadcast_no_table_that_grows(spark):
+    limit = "spark.sql.maxBroadcastTableSize"
+    before = spark.conf.get(limit)
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(40, 16))
+    rows = [(i, (base[i % 40] + 0.01 * rng.normal(size=16)).tolist()) for i in range(120)]
+    spark.conf.set(limit, "1b")  # any broadcast fails
+    try:
+        got = vectors.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    finally:
+        spark.conf.set(limit, before)
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, 2, i % 40) for i in range(120)}
