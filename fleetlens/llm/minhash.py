@@ -42,6 +42,8 @@ REGISTERS, ROWS = 96, 4
 AGREEMENT = 0.6
 #: Members of a bucket that one task compares with as many others.
 BLOCK_ROWS = 1000
+#: Shingles of a matrix product over such members; three matrices of members by shingles are held at once.
+OVERLAP_ELEMENTS = 1024
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -237,9 +239,9 @@ def _overlaps(bags_: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray, y: np.n
     order = np.argsort(number, kind="stable")
     row, number = row[order], number[order]
     total = np.zeros((len(x), len(y)), np.float32)
-    for at in range(0, int(common[-1]) + 1 if len(common) else 0, 4096):
-        lo, hi = np.searchsorted(number, [at, at + 4096])
-        part = np.zeros((len(bags_), 4096), np.float32)
+    for at in range(0, int(common[-1]) + 1 if len(common) else 0, OVERLAP_ELEMENTS):
+        lo, hi = np.searchsorted(number, [at, at + OVERLAP_ELEMENTS])
+        part = np.zeros((len(bags_), OVERLAP_ELEMENTS), np.float32)
         part[row[lo:hi], number[lo:hi] - at] = 1
         total += part[x] @ part[y].T
     return total

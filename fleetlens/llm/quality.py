@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._spark import passing, table
-from ._vec import Block, blocks, doc_of, mix, prefix_hash, range_hash, words
+from ._vec import Block, as_binary, blocks, doc_of, mix, prefix_hash, range_hash, words
 
 BITS = 20
 TRAIN_ROWS = 20_000
@@ -62,30 +62,46 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+def _counts(rows: list[np.ndarray]) -> np.ndarray:
+    """How many rows hold each place, a million places or one row more at a time."""
+    total, part, held = np.zeros(1 << BITS, np.int64), [], 0
+    for r in rows:
+        part.append(r)
+        held += len(r)
+        if held >= 1 << 20:
+            total += np.bincount(np.concatenate(part), minlength=1 << BITS)
+            part, held = [], 0
+    return total + np.bincount(np.concatenate(part), minlength=1 << BITS) if part else total
+
+
 def fit(rows: list[np.ndarray], label: np.ndarray) -> dict[str, np.ndarray | float]:
-    """Weights from rows of feature places and their labels."""
+    """Weights from rows of feature places and their labels.
+
+    Beside the rows it holds arrays of 2**BITS places only: scaled rows are made when they are used.
+    """
     share = float(label.mean()) if len(label) else 1.0
     none = {"ratio": np.zeros(1 << BITS, np.float32), "weight": np.zeros(1 << BITS, np.float32), "bias": 0.0, "slope": 0.0, "level": float(np.log((share + 1e-6) / (1 - share + 1e-6)))}
     if len(label) < 10 or label.min() == label.max():
         return none
-    counts = [np.bincount(np.concatenate([r for r, y in zip(rows, label) if y == c] or [np.zeros(0, int)]), minlength=1 << BITS) + ALPHA for c in (0, 1)]
+    counts = [_counts([r for r, y in zip(rows, label) if y == c]) + ALPHA for c in (0, 1)]
     ratio = np.log((counts[1] / (np.sum(label == 1) + 2 * ALPHA)) / (counts[0] / (np.sum(label == 0) + 2 * ALPHA)))
     ratio[(counts[0] + counts[1]) <= 2 * ALPHA + 1] = 0.0  # seen once: says nothing about other rows
-    scaled, norm = [], np.zeros(len(rows))
+    norm, diagonal = np.zeros(len(rows)), np.ones(len(rows))
     for i, r in enumerate(rows):
         x = ratio[r]
         norm[i] = max(np.sqrt(x @ x), 1e-9)
-        scaled.append(x / norm[i])
+        x /= norm[i]
+        diagonal[i] += x @ x
     y = np.where(label == 1, 1.0, -1.0)
     cost = COST * np.where(label == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6))
     kept_back = np.arange(len(rows)) % 5 == 4
     order = np.flatnonzero(~kept_back)
     w, bias, alpha, rng = np.zeros(1 << BITS), 0.0, np.zeros(len(rows)), np.random.default_rng(7)
-    diagonal = np.array([x @ x for x in scaled]) + 1.0
     for _ in range(EPOCHS):
         moved = 0.0
         for i in rng.permutation(order):
-            r, x = rows[i], scaled[i]
+            r = rows[i]
+            x = ratio[r] / norm[i]
             gradient = y[i] * (w[r] @ x + bias) - 1.0
             new = min(max(alpha[i] - gradient / diagonal[i], 0.0), cost[i])
             step = (new - alpha[i]) * y[i]
@@ -96,11 +112,21 @@ def fit(rows: list[np.ndarray], label: np.ndarray) -> dict[str, np.ndarray | flo
                 moved = max(moved, abs(step))
         if moved < TOLERANCE:
             break
-    margin = np.array([w[rows[i]] @ scaled[i] + bias for i in np.flatnonzero(kept_back)])
+    margin = np.array([w[rows[i]] @ (ratio[rows[i]] / norm[i]) + bias for i in np.flatnonzero(kept_back)])
     slope, level = _logistic(margin, label[kept_back].astype(float))
     return {"ratio": ratio.astype(np.float32), "weight": (w * ratio).astype(np.float32), "bias": float(bias), "slope": slope, "level": level}
 
 
+def _in_order(ids: np.ndarray, label: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Order by id, then label, then the row's bytes."""
+    order = np.lexsort((label, ids))
+    edge = np.flatnonzero(np.diff(ids[order], prepend=ids[order][:1] - 1, append=ids[order][-1:] + 1)) if len(order) else order
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        if b - a > 1:
+            order[a:b] = sorted(order[a:b], key=lambda k: (label[k], rows[k].tobytes()))
+    return order
+
+
 def _logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     """Newton's method for a logistic curve; targets drawn in as Platt does, a weak prior on the slope."""
     pos = label.sum()
@@ -155,10 +181,15 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS) -> dict
                 )
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = sorted((d, y, p) for b in batches for d, y, p in zip(*(c.to_pylist() for c in b.columns)))
-        rng = np.random.default_rng(3)
-        seen = [seen[i] for i in rng.permutation(len(seen))]
-        m = fit([np.frombuffer(p, "<i4") for _, _, p in seen], np.array([y for _, y, _ in seen], int))
+        rows, ids, label = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for b in batches:  # rows are views of the batches' bytes
+            data, edges = as_binary(b.column(2))
+            rows += [data[x:y].view("<i4") for x, y in zip(edges[:-1], edges[1:])]
+            ids.append(b.column(0).to_numpy())
+            label.append(b.column(1).to_numpy().astype(np.int64))
+        order = _in_order(np.concatenate(ids), label := np.concatenate(label), rows)
+        order = order[np.random.default_rng(3).permutation(len(order))]
+        m = fit([rows[i] for i in order.tolist()], label[order])
         yield pa.RecordBatch.from_arrays(
             [pa.array([m["ratio"].tobytes()]), pa.array([m["weight"].tobytes()]), *(pa.array([m[k]]) for k in ("bias", "slope", "level"))],
             ["ratio", "weight", "bias", "slope", "level"],
