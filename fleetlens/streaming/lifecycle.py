@@ -20,6 +20,7 @@ go to each of its buckets. Rows later than the watermark's delay are dropped by
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 
@@ -57,18 +58,18 @@ class Lifecycle(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at bigint, seq bigint, model string, action string, outcome string, error string")
+        self.waiting = handle.getListState("waiting", "rows string")  # an element for each batch's rows: each element costs far more than a row
         self.models = handle.getMapState("models", "model string", "status string, since bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [(_micros(r.at), r.seq, r.model, r.action, r.outcome, r.error) for r in rows]
-        self.waiting.appendList(new)
+        self.waiting.appendValue((json.dumps(new),))
         self.handle.registerTimer(min(r[0] for r in new) // 1000)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
-        rows = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[:2])
+        rows = sorted((r for (part,) in self.waiting.get() for r in json.loads(part)), key=lambda r: r[:2])
         due = [r for r in rows if r[0] // 1000 <= now]
         known = {k[0]: list(v) for k, v in self.models.iterator()}
         before = {m: tuple(v) for m, v in known.items()}
@@ -93,7 +94,7 @@ class Lifecycle(StatefulProcessor):
         if due:
             later = rows[len(due):]
             if later:
-                self.waiting.put(later)
+                self.waiting.put([(json.dumps(later),)])
             else:
                 self.waiting.clear()
         times = [r[0] // 1000 for r in rows[len(due):][:1]] + [(v[1] + self.limit) // 1000 for v in known.values() if v[0] == "querying"]

@@ -4,6 +4,7 @@ import os
 import random
 from datetime import datetime, timedelta
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from fleetlens.streaming import lifecycle as lc
@@ -102,3 +103,55 @@ def test_every_kind_of_interruption(spark, tmp_path):
     land(spark, rows, str(tmp_path), "a")
     got = {r.run: (r.status, r.error) for r in lc.states(run(spark, str(tmp_path))).where(F.col("model") == "A").collect()}
     assert got == {1: ("interrupted", lc.LEFT_BEHIND), 2: ("interrupted", "stopped"), 3: ("interrupted", lc.IDLE), 5: ("querying", "")}
+
+
+def test_rows_of_a_batch_wait_as_one_element():
+    class Kept:  # list and map state of one key
+        def __init__(self):
+            self.items, self.known = [], {}
+
+        def appendValue(self, value):
+            self.items.append(value)
+
+        def appendList(self, values):
+            self.items += values
+
+        def put(self, values):
+            self.items = list(values)
+
+        def get(self):
+            return iter(self.items)
+
+        def clear(self):
+            self.items = []
+
+        def iterator(self):
+            return iter(list(self.known.items()))
+
+        def updateValue(self, key, value):
+            self.known[key] = value
+
+    waiting, models = Kept(), Kept()
+
+    class Handle:
+        getListState = staticmethod(lambda *_: waiting)
+        getMapState = staticmethod(lambda *_: models)
+        registerTimer = staticmethod(lambda _: None)
+
+    class At:
+        def __init__(self, at):
+            self.at = at
+
+        def getCurrentWatermarkInMs(self):
+            return lc._micros(self.at) // 1000
+
+    rows = [Row(run=1, model="M\ud800'\"" if k % 2 else None, at=START + timedelta(hours=k), seq=k, action="begin" if k % 2 else "claim", outcome=None, error="") for k in range(50)]
+    life = lc.Lifecycle(LIMIT)
+    life.init(Handle)
+    assert not list(life.handleInputRows((1, 0), iter(rows[:25]), None))
+    assert not list(life.handleInputRows((1, 0), iter(rows[25:]), None))
+    assert len(waiting.items) == 2  # before: 50, each of them pickled and stored by itself
+    first = list(life.handleExpiredTimer((1, 0), At(rows[9].at), None))
+    assert [r.seq for r in first] == list(range(1, 10)) and len(waiting.items) == 1
+    rest = list(life.handleExpiredTimer((1, 0), At(rows[-1].at), None))
+    assert [r.seq for r in rest] == list(range(10, 50)) and not waiting.items and {r.model for r in rest} == {rows[1].model}
